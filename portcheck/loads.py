@@ -6,9 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quayside.contracts import MOVES, PREGATE
+from quayside.contracts import MOVES, PREGATE, stamped
 from quayside.operators import dimension as dm, params as pm, runlog
-from quayside.operators.slices import replace_day
 from quayside.plans import dimensions, stages
 from quayside.settings import new_path, shared_dir
 from quayside.sources import readers as r, writers as w
@@ -168,11 +167,13 @@ def _(v):
     FROM v_source WHERE slice <> DATE '2024-01-10' OR event_type = 'purchase'""")
 def _(v):
     key = F.date_format("slice", "yyyyMMdd").cast("int")
-    stored = v.source_slices.withColumn("ETL_DATE", key).drop("slice")
+    path, stored = new_path(v.spark, "by-day"), v.source_slices.withColumn("ETL_DATE", key).drop("slice")
+    w.append_slices(stored, path, "ETL_DATE")
     corrected = v.source_slices.filter("slice = '2024-01-10' AND event_type = 'purchase'")
     new = corrected.withColumn("value", F.col("value") * 2).drop("slice")
-    once = replace_day(stored, new, 20240110)
-    return replace_day(once, new, 20240110)
+    for _ in range(2):
+        w.replace_slice(new, path, "ETL_DATE", 20240110)
+    return v.spark.read.schema(stored.schema).parquet(path)
 
 
 _LANDED = """
@@ -228,11 +229,11 @@ _MONTH = "CASE WHEN FEL = 'F' THEN 'full ' || REPORT_MONTH ELSE REPORT_MONTH END
     UNION ALL
     SELECT *, 20230930 FROM v_moves WHERE CAT_TYPE = 'INTERNAL'""")
 def _(v):
-    internal = v.moves.filter("CAT_TYPE = 'INTERNAL'")
-    stored = stages.summary_rows(internal, MOVES, 20230930).unionByName(
-        stages.summary_rows(internal, MOVES, 20231001)
-    )
-    return stages.summary_load(stored, v.moves, MOVES, 20231001, [("REPORT_MONTH", _MONTH)])
+    path, internal = new_path(v.spark, "summary"), v.moves.filter("CAT_TYPE = 'INTERNAL'")
+    stages.summary_load(internal, path, MOVES, 20230930)
+    stages.summary_load(internal, path, MOVES, 20231001)
+    stages.summary_load(v.moves, path, MOVES, 20231001, [("REPORT_MONTH", _MONTH)])
+    return v.spark.read.schema(stamped(MOVES)).parquet(path)
 
 
 # ---- dimensions -----------------------------------------------------------------------------------

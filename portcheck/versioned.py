@@ -69,9 +69,10 @@ def _(v):
     return vs.snapshot_history(v.commits, v.refs)
 
 
-@check("meta_refs", "SELECT * FROM v_refs")
+@check("meta_refs", """
+    SELECT r.*, c.committed_at FROM v_refs r LEFT JOIN v_commits c ON r.snapshot_id = c.snapshot_id""")
 def _(v):
-    return v.refs
+    return vs.describe_refs(v.commits, v.refs)
 
 
 @check("snapshot_tag_branch", """

@@ -22,7 +22,7 @@ def copy_counts(stored: DataFrame, source: DataFrame) -> DataFrame:
 
 
 # how the copies stored and at the source must compare for a row to count as a difference
-_DIFFERS = {
+DIFFERS = {
     "removed": lambda stored, source: (stored > 0) & (source == 0),
     "symmetric": lambda stored, source: (stored > 0) != (source > 0),
     "copies": lambda stored, source: stored != source,
@@ -35,7 +35,7 @@ def diff_rows(stored: DataFrame, source: DataFrame, mode: str = "symmetric") ->
     ``removed``: stored but no longer at the source.  ``symmetric``: on one side only.
     ``copies``: also rows on both sides, a different number of times.
     """
-    return copy_counts(stored, source).filter(_DIFFERS[mode](F.col("_stored"), F.col("_source")))
+    return copy_counts(stored, source).filter(DIFFERS[mode](F.col("_stored"), F.col("_source")))
 
 
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -80,7 +80,7 @@ def apply_type1(
     attributes: Sequence[str],
 ) -> DataFrame:
     """Overwrite attributes in place and add new rows.  Columns the feed does not carry keep
-    their value, and are NULL in new rows."""
+    their value, and are NULL in new rows.  ``changes`` holds a key once."""
     updates = of_kind(changes, "U").select(
         id_col, F.lit(True).alias("_updated"), *[F.col(a).alias(f"_new_{a}") for a in attributes]
     )
@@ -91,7 +91,7 @@ def apply_type1(
         return F.when(F.col("_updated"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
 
     kept = dim.join(updates, id_col, "left").select(*[value(c) for c in dim.columns])
-    added = surrogate_keys(of_kind(changes, "I").drop(id_col), dim, id_col, keys)
+    added = surrogate_keys(of_kind(changes, "I").drop(id_col), dim, id_col, keys, tie_break=())
     return kept.unionByName(added, allowMissingColumns=True)
 
 
@@ -104,7 +104,7 @@ def apply_type2(
 ) -> DataFrame:
     """Close the versions that changed or vanished and open the new ones on ``effective_date``.
 
-    Closed history passes through untouched and unshuffled; only active rows are joined.
+    ``changes`` holds a key once, or a key would get two active versions.  Closed history passes through untouched and unshuffled; only active rows are joined.
     """
     day = F.lit(effective_date).cast("date")
     ended = of_kind(changes, "U", "D").select(id_col).distinct().withColumn("_ended", F.lit(True))
@@ -119,7 +119,7 @@ def apply_type2(
         .select(*dim.columns)
     )
     opened = of_kind(changes, "I", "U").drop(id_col)
-    opened = surrogate_keys(opened, dim, id_col, keys).withColumns({
+    opened = surrogate_keys(opened, dim, id_col, keys, tie_break=()).withColumns({
         STATUS: F.lit(ACTIVE),
         VALID_FROM: day,
         VALID_TO: F.lit(OPEN_END).cast("date"),

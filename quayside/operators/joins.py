@@ -102,9 +102,18 @@ def flag_exists(
 
 
 def full_outer(left: DataFrame, right: DataFrame, on: Pairs, suffix: str) -> DataFrame:
-    """All rows of both sides, the right side's columns under ``suffix``.  NULL keys match nothing."""
-    joined = left.alias("src").join(right.alias("lookup"), _condition(on, "src", "lookup"), "full")
-    return joined.select("src.*", *[F.col(f"lookup.{c}").alias(f"{c}_{suffix}") for c in right.columns])
+    """All rows of both sides, the right side's columns under ``suffix``.  NULL keys match nothing.
+
+    A left join plus what is on the right only.  Spark cannot split a hot key in a full outer
+    join; it can on the left of each of these two, and the keys opposite are distinct.
+    """
+    matched = enrich(left, right, on, right.columns, suffix)
+    keys = left.select(*[F.col(a).alias(f"_{b}") for a, b in on]).distinct()
+    unmatched = right.join(keys, [F.col(b) == F.col(f"_{b}") for _, b in on], "left_anti")
+    return matched.unionByName(
+        unmatched.withColumnsRenamed({c: f"{c}_{suffix}" for c in right.columns}),
+        allowMissingColumns=True,
+    )
 
 
 @dataclass(frozen=True)

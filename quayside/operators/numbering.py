@@ -12,6 +12,29 @@ from ..settings import materialize
 _PARTITION_SHIFT = 33
 _POSITION_MASK = (1 << _PARTITION_SHIFT) - 1
 
+#: copies of one row that a task writes in one go
+COPIES_PER_TASK = 100_000
+
+
+def number_copies(df: DataFrame, name: str = "_copy", chunk: int = COPIES_PER_TASK) -> DataFrame:
+    """The same rows, exact copies told apart as 0, 1, 2 ...
+
+    Copies are counted (folded before the shuffle) and written out again with their number, a
+    row with very many copies by many tasks.  Unlike a random salt the number is the same on
+    every attempt, so a task that is repeated cannot lose or double a row.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    few = counted.filter(F.col("_copies") <= chunk).withColumn("_from", F.lit(0).cast("bigint"))
+    many = (
+        counted.filter(F.col("_copies") > chunk)
+        .withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(chunk))))
+        .repartition("_from")
+    )
+    last = F.least(F.col("_from") + chunk, F.col("_copies")) - 1
+    return few.unionByName(many).select(
+        *df.columns, F.explode(F.sequence(F.col("_from"), last)).alias(name)
+    )
+
 
 def global_row_id(
     df: DataFrame,
@@ -23,19 +46,23 @@ def global_row_id(
     """``row_number() over (order by order_by)`` computed in parallel.
 
     Rows are range-partitioned and sorted by the order columns, positions within a range come
-    for free, and each range starts where the ones before it end.  ``tie_break`` (default: all
-    other columns) makes the numbering deterministic and lets the ranges cut through a key that
-    holds a large part of all rows.
+    for free, and each range starts where the ones before it end.  ``tie_break`` names columns
+    that, with ``order_by``, tell all rows apart; they make the numbers deterministic and let a
+    range boundary fall inside a key that holds a large part of all rows.  Without it, all other
+    columns are used, and whole copies of a row are numbered first.
 
     The ranged rows are written out before they are counted: range bounds come from a sample,
     so counting and numbering must look at the same files, not at two runs of the same plan.
     """
-    others = [c for c in df.columns if c not in order_by]
-    keys = [*order_by, *(others if tie_break is None else tie_break)]
+    rows = df
+    if tie_break is None:
+        rows = number_copies(df)
+        tie_break = [c for c in rows.columns if c not in order_by]
+    keys = [*order_by, *tie_break]
     ranged = materialize(
-        df.repartitionByRange(*keys)
+        rows.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .withColumn(name, F.monotonically_increasing_id()),
+        .select(*df.columns, F.monotonically_increasing_id().alias(name)),
         "row-id",
     )
     part = F.shiftright(name, _PARTITION_SHIFT)
@@ -55,8 +82,12 @@ def global_row_id(
 
 
 def surrogate_keys(
-    new_rows: DataFrame, dim: DataFrame, id_col: str, order_by: Sequence[str]
+    new_rows: DataFrame,
+    dim: DataFrame,
+    id_col: str,
+    order_by: Sequence[str],
+    tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number new dimension rows on from the highest id in use."""
     highest = dim.agg(F.max(id_col)).first()[0] or 0
-    return global_row_id(new_rows, order_by, name=id_col, start_after=int(highest))
+    return global_row_id(new_rows, order_by, id_col, tie_break, start_after=int(highest))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .compare import copy_counts, _DIFFERS
-from .projection import stamp
+from .compare import DIFFERS, copy_counts
 
 
 def slice_filter(df: DataFrame, column: str, day) -> DataFrame:
@@ -13,13 +12,6 @@ def slice_filter(df: DataFrame, column: str, day) -> DataFrame:
     return df.filter(F.col(column) == F.lit(day))
 
 
-def replace_day(target: DataFrame, new: DataFrame, day: int, column: str = "ETL_DATE") -> DataFrame:
-    """``target`` with the rows of ``day`` replaced by ``new``, stamped.  Running it again with
-    the same rows gives the same table."""
-    others = target.filter(~F.col(column).eqNullSafe(F.lit(day)))
-    return others.unionByName(stamp(new, **{column: day}))
-
-
 def changed_slices(
     stored: DataFrame, source: DataFrame, slice_col: str, mode: str = "symmetric"
 ) -> DataFrame:
@@ -32,7 +24,7 @@ def changed_slices(
     per_slice = counts.groupBy(slice_col).agg(
         F.max(n_stored).alias("_stored"),
         F.max(n_source).alias("_source"),
-        F.max(_DIFFERS[mode](n_stored, n_source)).alias("_differs"),
+        F.max(DIFFERS[mode](n_stored, n_source)).alias("_differs"),
     )
     return per_slice.filter(
         (F.col("_source") > 0) & ((F.col("_stored") == 0) | F.col("_differs"))

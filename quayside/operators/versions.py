@@ -107,6 +107,12 @@ def snapshot_history(commits: DataFrame, refs: DataFrame, branch: str = MAIN) ->
     )
 
 
+def describe_refs(commits: DataFrame, refs: DataFrame) -> DataFrame:
+    """Branches and tags with the time of the commit they stand on."""
+    made = commits.groupBy("snapshot_id").agg(F.max("committed_at").alias("committed_at"))
+    return refs.join(made, "snapshot_id", "left").select(*refs.columns, "committed_at")
+
+
 def set_head(refs: DataFrame, head: DataFrame, branch: str = MAIN) -> DataFrame:
     """Point a branch at the commit in the one-row frame ``head``."""
     is_branch = (F.col("name") == branch) & (F.col("kind") == "branch")

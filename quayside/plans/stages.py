@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, types as T
 
 from ..contracts import stamped
 from ..operators.projection import conform, project, stamp, transform_exprs
-from ..operators.slices import replace_day
+from ..sources.writers import replace_slice
 
 
 def conform_stage(raw: DataFrame, schema: T.StructType) -> DataFrame:
@@ -28,13 +28,12 @@ def summary_rows(
 
 
 def summary_load(
-    summary: DataFrame,
     stage: DataFrame,
+    path: str,
     schema: T.StructType,
     day: int,
     transforms: Iterable[tuple[str, str]] = (),
     column: str = "ETL_DATE",
-) -> DataFrame:
-    """The summary with ``day`` replaced by the stage rows."""
-    new = summary_rows(stage, schema, day, transforms, column).drop(column)
-    return replace_day(summary, new, day, column)
+) -> None:
+    """Make the stage rows the summary's slice of ``day``; other days are not touched or read."""
+    replace_slice(summary_rows(stage, schema, day, transforms, column), path, column, day)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -44,17 +44,33 @@ def replace_slices(df: DataFrame, path: str, slice_col: str) -> None:
     _by_slice(df, slice_col).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def land_slices(source: DataFrame, path: str, slice_col: str, mode: str = "symmetric") -> None:
+def replace_slice(df: DataFrame, path: str, slice_col: str, value) -> None:
+    """Make ``df`` the one slice ``value``; no rows empty it.  Running it again changes nothing."""
+    rows = df.drop(slice_col).hint("rebalance")
+    rows.write.mode("overwrite").parquet(f"{path}/{slice_col}={value}")
+
+
+def land_slices(
+    source: DataFrame,
+    path: str,
+    slice_col: str,
+    mode: str = "symmetric",
+    days: Sequence | None = None,
+) -> None:
     """Bring stored slices up to date with the source, rewriting only those that changed.
 
     One comparison covers one day or a whole back-fill; with nothing changed nothing is written.
+    Only ``days`` (default: those the source has rows for) are read on either side.
     """
-    stored = read_or_empty(source.sparkSession, path, source.schema)
+    if days is None:
+        days = [row[0] for row in source.select(slice_col).distinct().collect()]
+    due = F.col(slice_col).isin(*days)
+    source = source.filter(due)
+    stored = read_or_empty(source.sparkSession, path, source.schema).filter(due)
     # settled before writing starts: the write must not re-read the slices it is replacing
     changed = materialize(changed_slices(stored, source, slice_col, mode), "changed-slices")
-    due = source.join(changed, slice_col, "left_semi")
     if not changed.isEmpty():
-        replace_slices(due, path, slice_col)
+        replace_slices(source.join(changed, slice_col, "left_semi"), path, slice_col)
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
