@@ -40,9 +40,9 @@ def _(v):
     FROM v_moves m JOIN v_pregate p ON m.ITEM_KEY = p.ITEM_KEY
       AND (p.R_D = 'R' AND m.MOVE_TYPE = 'LIFTOFF' OR p.R_D = 'D' AND m.MOVE_TYPE = 'LIFTON')""")
 def _(v):
-    on = (F.col("src.ITEM_KEY") == F.col("lookup.ITEM_KEY")) & yard.direction_matches(
-        F.col("lookup.R_D"), F.col("src.MOVE_TYPE")
-    )
+    receipt = (F.col("lookup.R_D") == "R") & (F.col("src.MOVE_TYPE") == "LIFTOFF")
+    delivery = (F.col("lookup.R_D") == "D") & (F.col("src.MOVE_TYPE") == "LIFTON")
+    on = (F.col("src.ITEM_KEY") == F.col("lookup.ITEM_KEY")) & (receipt | delivery)
     return j.enrich(v.moves, v.pregate, on, ["R_D"], "gate", "inner", ["ITEM_NO", "MOVE_TYPE"])
 
 

@@ -12,6 +12,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .joins import without_keys_of
 from .numbering import surrogate_keys
 from .projection import distinct_rows, keys_not_null
 
@@ -63,7 +64,7 @@ def split_changes(
     if not keep_unchanged:
         changes = changes.filter(F.col("_change") != "=")
     if deletes:
-        gone = stored.join(fed.select(*keys).distinct(), list(keys), "left_anti")
+        gone = without_keys_of(stored, fed, [(k, k) for k in keys])
         changes = changes.unionByName(gone.withColumn("_change", F.lit("D")))
     return changes
 

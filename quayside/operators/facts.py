@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from .aggregate import METHODS
+from .joins import enrich
 from .projection import keys_not_null
 
 UNKNOWN_ID = -1
@@ -45,12 +46,8 @@ def fact_surrogate_lookup(
     for d in dimensions:
         keys = [b for _, b in d.on]
         # one id per key, or the measure would count once per version of the dimension row
-        ids = keys_not_null(d.dim, keys).groupBy(*[F.col(b).alias(f"_{b}") for b in keys]).agg(
-            F.min(d.id_col).alias(d.name)
-        )
-        facts = facts.join(ids, [F.col(a) == F.col(f"_{b}") for a, b in d.on], "left").drop(
-            *[f"_{b}" for b in keys]
-        )
+        ids = keys_not_null(d.dim, keys).groupBy(*keys).agg(F.min(d.id_col).alias(d.name))
+        facts = enrich(facts, ids, d.on, [d.name], aggregated=True)
     names = [d.name for d in dimensions]
     facts = facts.withColumns({n: F.coalesce(F.col(n), F.lit(UNKNOWN_ID).cast("bigint")) for n in names})
     return facts.groupBy(*group_by, *names).agg(

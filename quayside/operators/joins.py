@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import presence_flag
 from .projection import one_per_key
@@ -27,6 +27,24 @@ def _condition(on: Pairs | Column, left: str, right: str) -> Column:
     return reduce(and_, [F.col(f"{left}.{a}") == F.col(f"{right}.{b}") for a, b in on])
 
 
+def shuffled_anew(left: DataFrame, right: DataFrame, on: Pairs) -> Column:
+    """Key equality for joining to a side that was just aggregated by the same keys.
+
+    Such a side is already partitioned by the keys and would be joined as it is; Spark then
+    cannot split a hot key of the other side, for it splits only what was shuffled for the join
+    itself.  The keys' hash as a further key changes no match and makes it shuffle the aggregated
+    (small) side again.  Equal values of different types, and 0.0 and -0.0, hash differently: such
+    keys are left plain.
+    """
+    plain = _condition(on, "src", "lookup")
+    types = [(left.schema[a].dataType, right.schema[b].dataType) for a, b in on]
+    if any(a != b or isinstance(a, (T.FloatType, T.DoubleType)) for a, b in types):
+        return plain
+    hashes = [F.xxhash64(*[F.col(f"src.{a}") for a, _ in on]),
+              F.xxhash64(*[F.col(f"lookup.{b}") for _, b in on])]
+    return plain & (hashes[0] == hashes[1])
+
+
 def enrich(
     src: DataFrame,
     lookup: DataFrame,
@@ -36,16 +54,20 @@ def enrich(
     how: str = "left",
     keep: Sequence[str] | None = None,
     unique: bool = False,
+    aggregated: bool = False,
 ) -> DataFrame:
     """Add ``take`` columns of ``lookup`` (as ``<column>_<suffix>``) to ``src``.
 
     ``on`` is a list of (source column, lookup column) or a condition over ``src.*`` and
     ``lookup.*``.  A key that occurs twice in the lookup doubles the source row; ``unique=True``
-    reduces the lookup to one row per key first.
+    reduces the lookup to one row per key first.  Say ``aggregated`` of a lookup that is already
+    the result of grouping by its keys.
     """
     if unique:
         keys = list(dict.fromkeys(b for _, b in on))
         lookup = one_per_key(lookup.select(*dict.fromkeys([*keys, *take])), keys)
+    if unique or aggregated:
+        on = shuffled_anew(src, lookup, on)
     kept = [F.col(f"src.{c}") for c in keep] if keep else [F.col("src.*")]
     taken = [F.col(f"lookup.{c}").alias(f"{c}_{suffix}" if suffix else c) for c in take]
     joined = src.alias("src").join(lookup.alias("lookup"), _condition(on, "src", "lookup"), how)
@@ -85,9 +107,22 @@ def code_table_lookup(
 
 def existence_join(src: DataFrame, other: DataFrame, on: Pairs, once: bool = False) -> DataFrame:
     """Source rows that have a match.  A source row comes once per match, or just once."""
-    how = "left_semi" if once else "inner"
-    joined = src.alias("src").join(other.alias("other"), _condition(on, "src", "other"), how)
-    return joined.select("src.*")
+    if not once:
+        return enrich(src, other, on, [], how="inner")
+    keys, pairs = _distinct_keys(other, on)
+    return src.alias("src").join(keys.alias("lookup"), shuffled_anew(src, keys, pairs), "left_semi")
+
+
+def without_keys_of(df: DataFrame, other: DataFrame, on: Pairs) -> DataFrame:
+    """Rows of ``df`` that match none of ``other``."""
+    keys, pairs = _distinct_keys(other, on)
+    return df.alias("src").join(keys.alias("lookup"), shuffled_anew(df, keys, pairs), "left_anti")
+
+
+def _distinct_keys(other: DataFrame, on: Pairs) -> tuple[DataFrame, Pairs]:
+    """The keys alone and once each: what a semi or anti join looks at is then free of hot keys."""
+    keys = other.select(*[F.col(b).alias(f"_other_{i}") for i, (_, b) in enumerate(on)]).distinct()
+    return keys, [(a, f"_other_{i}") for i, (a, _) in enumerate(on)]
 
 
 def flag_exists(
@@ -108,8 +143,7 @@ def full_outer(left: DataFrame, right: DataFrame, on: Pairs, suffix: str) -> Dat
     join; it can on the left of each of these two, and the keys opposite are distinct.
     """
     matched = enrich(left, right, on, right.columns, suffix)
-    keys = left.select(*[F.col(a).alias(f"_{b}") for a, b in on]).distinct()
-    unmatched = right.join(keys, [F.col(b) == F.col(f"_{b}") for _, b in on], "left_anti")
+    unmatched = without_keys_of(right, left, [(b, a) for a, b in on])
     return matched.unionByName(
         unmatched.withColumnsRenamed({c: f"{c}_{suffix}" for c in right.columns}),
         allowMissingColumns=True,

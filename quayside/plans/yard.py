@@ -48,9 +48,28 @@ class YardTables:
     dangerous: DataFrame
 
 
-def direction_matches(r_d: Column, move_type: Column) -> Column:
-    """A receipt goes with lifting off, a delivery with lifting on."""
-    return ((r_d == RECEIPT) & (move_type == LIFT_OFF)) | ((r_d == DELIVERY) & (move_type == LIFT_ON))
+def by_lift(pregate: DataFrame) -> DataFrame:
+    """Gate transactions with the move they belong to: a receipt is lifted off, a delivery on.
+
+    As a column it is a second join key.  As a condition on top of ITEM_KEY it would only be
+    checked after the moves of an item were brought together in one task.
+    """
+    lift = F.when(F.col("R_D") == RECEIPT, LIFT_OFF).when(F.col("R_D") == DELIVERY, LIFT_ON)
+    return pregate.withColumn("_lift", lift)
+
+
+ON_GATE = (("ITEM_KEY", "ITEM_KEY"), ("MOVE_TYPE", "_lift"))
+
+
+def cargo_flags(oversize: DataFrame, charged: DataFrame) -> DataFrame:
+    """How often an item is listed as oversize and as charged dangerous cargo."""
+    yes, no = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    listed = oversize.select("ITEM_KEY", yes.alias("_oversize"), no.alias("_dangerous")).union(
+        charged.select("ITEM_KEY", no, yes)
+    )
+    return listed.groupBy("ITEM_KEY").agg(
+        F.sum("_oversize").alias("N_OVERSIZE"), F.sum("_dangerous").alias("N_DANGEROUS")
+    )
 
 
 def reported_moves(moves: DataFrame) -> DataFrame:
@@ -67,8 +86,10 @@ def transported_items(t: YardTables) -> DataFrame:
     """Per gate transaction everything the report wants to know about the item.
 
     Method, charge, transfer reason and cargo flags depend on the item and not on the move.
-    Settling them here leaves one join, on ITEM_KEY, between the moves and everything keyed by
-    item; the moves, by far the largest table, are shuffled once for it.
+    Settling them here leaves one join between the moves, by far the largest table, and
+    everything keyed by item.  The two cargo lists are folded into one lookup for the same
+    reason, and because in a chain of joins on one key Spark could not split a hot one.  An item
+    listed twice counts twice, as joining the list would have it.
     """
     depot_methods = t.methods.filter(F.col("TRANFER_LINK_DEPOT") == YES)
     by_road = t.charges.filter(F.col("TRANSPORT_TYPE") != BARGE)
@@ -80,20 +101,19 @@ def transported_items(t: YardTables) -> DataFrame:
     items = enrich(gate, depot_methods, by_method, ["OPERATION_NAME"], how="inner")
     items = existence_join(items, by_road, [("OPERATION_METHOD", "CHARGE_CD")])
     items = code_table_lookup(items, t.codes, TRANSFER_CODES, "TRANSFER_REASON_CD")
-    same_item = [("ITEM_KEY", "ITEM_KEY")]
-    items = enrich(items, t.oversize, same_item, ["ITEM_KEY"], "oversize")
-    charged = t.dangerous.filter(F.col("CHARGE_FLG") == YES)
-    return enrich(items, charged, same_item, ["ITEM_KEY"], "dangerous")
+    flags = cargo_flags(t.oversize, t.dangerous.filter(F.col("CHARGE_FLG") == YES))
+    counts = ["N_OVERSIZE", "N_DANGEROUS"]
+    items = enrich(items, flags, [("ITEM_KEY", "ITEM_KEY")], counts, aggregated=True)
+    times = [F.greatest(F.coalesce(n, F.lit(0)), F.lit(1)) for n in counts]
+    repeated = items.withColumn("_nth", F.explode(F.sequence(F.lit(1), times[0] * times[1])))
+    return by_lift(repeated).drop("_nth", "R_D")
 
 
 def joined_moves(t: YardTables, buckets: Buckets | None = None) -> DataFrame:
     """Reported moves with item, equipment and yard area columns."""
     items = transported_items(t)
-    on_item = (F.col("src.ITEM_KEY") == F.col("lookup.ITEM_KEY")) & direction_matches(
-        F.col("lookup.R_D"), F.col("src.MOVE_TYPE")
-    )
-    from_gate = [c for c in items.columns if c not in ("ITEM_KEY", "R_D")]
-    moves = enrich(reported_moves(t.moves), items, on_item, from_gate, "gate", how="inner")
+    from_gate = [c for c in items.columns if c not in ("ITEM_KEY", "_lift")]
+    moves = enrich(reported_moves(t.moves), items, ON_GATE, from_gate, "gate", how="inner")
     named = t.equipment.filter(F.col("CHE_ID") != " ")
     moves = validity_join(
         moves, named, [("CHE_ID", "CHE_ID")], "EXEC_TS", ("AS_AT_TS", "EXPIRY_TS"),
@@ -131,8 +151,8 @@ def report_columns() -> dict[str, Column]:
         "FROM_MANAGE_REPORT": null_to_blank(F.col("MANAGE_BY_from")),
         "TO_MANAGE_REPORT": null_to_blank(F.col("MANAGE_BY_to")),
         "IS_REEFER": is_reefer(F.col("ISO")),
-        "IS_OOG": presence_flag(F.col("ITEM_KEY_oversize_gate")),
-        "IS_DANGEROUS": presence_flag(F.col("ITEM_KEY_dangerous_gate")),
+        "IS_OOG": presence_flag(F.nullif(F.col("N_OVERSIZE_gate"), F.lit(0))),
+        "IS_DANGEROUS": presence_flag(F.nullif(F.col("N_DANGEROUS_gate"), F.lit(0))),
         "PLACE_OF_DELIVERY": either(
             lift == LIFT_ON, F.col("PLACE_OF_DELIVERY_gate"), F.lit(TERMINAL)
         ),
@@ -173,11 +193,9 @@ def external_transport(report: DataFrame, day: int) -> DataFrame:
 def moves_view(moves: DataFrame, pregate: DataFrame, methods: DataFrame) -> DataFrame:
     """Moves with their gate transaction and handling method.  The second and third target stack
     have no stated origin and are NULL."""
-    on_item = (F.col("src.ITEM_KEY") == F.col("lookup.ITEM_KEY")) & direction_matches(
-        F.col("lookup.R_D"), F.col("src.MOVE_TYPE")
-    )
     gated = enrich(
-        moves, pregate, on_item, ["R_D", "RECEIVAL_PLACE", "OPERATION_METHOD"], "gate", how="inner"
+        moves, by_lift(pregate), ON_GATE, ["R_D", "RECEIVAL_PLACE", "OPERATION_METHOD"], "gate",
+        how="inner",
     )
     named = enrich(
         gated, methods, [("OPERATION_METHOD_gate", "OPERATION_METHOD")],
