@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +21,18 @@ def test_sentinel_dates(make):
     ]
 
 
+def test_slice_key_parses_as_the_formatter_does(make):
+    days = [date(2000, 1, 1) + timedelta(7 * i) for i in range(5000)]
+    texts = [d.strftime("%d-%b-%y") for d in days] + [d.strftime("%d-%b-%y").upper() for d in days[:60]]
+    texts += [None, "", "x", "31-AUG-3", "31-AUG-233", "1-AUG-23", " 1-AUG-23", "01-ANF-23", "01-AUGX23",
+              "01 AUG-23", "30-FEB-24", "29-FEB-24", "29-FEB-23", "00-JAN-24", "32-JAN-24", "01-JAN-+1",
+              "+1-JAN-24", "01--01-24", "01-JAN-2 ", "0a-JAN-24", "01-jaN-24", "01-JAN-\t1", "01-   -24",
+              "01-\u0130AN-24", "1\u0661-JAN-24", "01-SEPT-4"]
+    df = make([(t,) for t in texts], "t string")
+    fast, slow = fn.parse_slice_key(F.col("t")), F.try_to_date("t", "dd-MMM-yy")
+    assert df.filter(~fast.eqNullSafe(slow)).collect() == []
+
+
 def test_trim_takes_spaces_only(make):
     df = make([(" a ", 1), (" a\t ", 2), (" ", 3), (None, 4)], "s string, n int")
     assert [r.s for r in p.trim_all_strings(df).orderBy("n").collect()] == ["a", "a\t", "", None]

@@ -110,3 +110,17 @@ def test_slice_filter_prunes(spark, make, path):
     one = slice_filter(spark.read.parquet(path), "day", D1)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and bag(one.select("n")) == [(1,)]
+
+
+def test_hot_slice_is_written_by_many_tasks(spark, path):
+    rows = spark.range(0, 40_000, 1, 8).selectExpr(
+        "id AS n", "sha2(CAST(id AS STRING), 256) AS v",
+        "CASE WHEN id % 3 = 0 THEN DATE'2023-10-01' ELSE date_add(DATE'2023-10-02', CAST(id % 5 AS INT)) END AS day",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        w.replace_slices(rows, path, "day")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(files(path, D1)) > 1
+    assert spark.read.parquet(path).count() == 40_000
