@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from quayside.contracts import DANGEROUS, EQUIPMENT, MOVES, OVERSIZE, PREGATE, untyped
 from quayside.functions import slice_key
 from quayside.plans.yard import YardTables
+from quayside.settings import materialize
 
 DATE_COLUMNS = [f.name for f in MOVES.fields if f.dataType.typeName() == "date"]
 
@@ -298,6 +299,7 @@ class Views:
 
     @cached_property
     def commits(self) -> DataFrame:
+        """The commit log, kept as the small table it would be: operators read it several times."""
         ident, nth = F.col("content_id"), (F.col("content_id") - 1) % 3
         first, k = nth == 0, F.datediff(F.col("slice"), day("2024-01-01"))
         parent = (
@@ -305,7 +307,7 @@ class Views:
             .when(k <= 24, ident - 1).otherwise(ident - 2)
         )
         corrected_at = F.col("slice").cast("timestamp_ntz") + F.expr("INTERVAL 30 HOURS")
-        return self.history.groupBy("slice", "content_id").agg(F.max("ts").alias("_last")).select(
+        log = self.history.groupBy("slice", "content_id").agg(F.max("ts").alias("_last")).select(
             ident.alias("snapshot_id"),
             parent.cast("bigint").alias("parent_id"),
             F.when(nth == 2, corrected_at).otherwise(F.col("_last")).alias("committed_at"),
@@ -313,6 +315,7 @@ class Views:
             "slice",
             "content_id",
         )
+        return materialize(log, "commits")
 
     @cached_property
     def refs(self) -> DataFrame:

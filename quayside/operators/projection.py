@@ -13,6 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import conform_date
+from ..functions.dates import NO_DATE
 
 
 def project(df: DataFrame, columns: Sequence[str] | T.StructType) -> DataFrame:
@@ -64,15 +65,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     have = {f.name: f.dataType for f in df.schema.fields}
 
     def typed(field: T.StructField) -> Column:
-        value = F.col(field.name)
-        if isinstance(have[field.name], T.StringType):
-            value = F.trim(value)
+        is_text = isinstance(have[field.name], T.StringType)
+        value = F.trim(F.col(field.name)) if is_text else F.col(field.name)
         if not isinstance(field.dataType, T.DateType):
             value = value.try_cast(field.dataType)
-        elif isinstance(have[field.name], T.StringType):
+        elif is_text:
             value = conform_date(value)
         else:
-            value = F.coalesce(value.cast("date"), conform_date(F.lit(None).cast("string")))
+            value = F.coalesce(value.cast("date"), F.lit(NO_DATE).cast("date"))
         return value.alias(field.name)
 
     return df.select(*[typed(f) for f in schema.fields])
