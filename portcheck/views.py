@@ -14,6 +14,7 @@ from quayside.contracts import DANGEROUS, EQUIPMENT, MOVES, OVERSIZE, PREGATE, u
 from quayside.functions import slice_key
 from quayside.plans.yard import YardTables
 from quayside.settings import materialize
+from quayside.sources.readers import spread
 
 DATE_COLUMNS = [f.name for f in MOVES.fields if f.dataType.typeName() == "date"]
 
@@ -37,6 +38,9 @@ class Views:
 
     @cached_property
     def moves(self) -> DataFrame:
+        return self._moves_of(self.table("lineitem"))
+
+    def _moves_of(self, lineitem: DataFrame) -> DataFrame:
         line, shipped = F.col("l_linenumber"), F.col("l_shipdate").cast("date")
         columns = {
             "ITEM_KEY": F.col("l_orderkey").cast("string"),
@@ -83,7 +87,7 @@ class Views:
             "REPORT_TS": shipped,
             "REPORT_MONTH": F.date_format("l_shipdate", "yyyyMM"),
         }
-        return self.table("lineitem").select(*[columns[c].alias(c) for c in MOVES.names])
+        return lineitem.select(*[columns[c].alias(c) for c in MOVES.names])
 
     @cached_property
     def raw_moves(self) -> DataFrame:
@@ -101,7 +105,8 @@ class Views:
                 )
             return landed.alias(c)
 
-        return self.moves.select(*[raw(c) for c in untyped(MOVES).names])
+        landed = self._moves_of(spread(self.table("lineitem")))
+        return landed.select(*[raw(c) for c in untyped(MOVES).names])
 
     @cached_property
     def pregate(self) -> DataFrame:
