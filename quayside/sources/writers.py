@@ -140,8 +140,9 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, slice_col:
     if partial:
         rest = rows.filter(F.col(slice_col).isin(*partial) & ~hit)
         replace_slices(rest, table_location(spark, table), slice_col)
-    for day in emptied:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{slice_col}` = '{day}')")
+    if emptied:
+        named = ", ".join(f"PARTITION (`{slice_col}` = '{day}')" for day in emptied)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
     spark.catalog.refreshTable(table)
 
 

@@ -93,7 +93,8 @@ def test_tables(spark, make):
     w.ensure_properties(spark, table, {"keep": "9", "age": "30"})
     props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     assert (props["keep"], props["age"]) == ("5", "30")
-    rows = make([(1, "a", D1), (2, None, D1), (3, "a", D2), (4, "b", D3)], "n int, s string, day date")
+    rows = make([(1, "a", D1), (2, None, D1), (3, "a", D2), (4, "b", D3),
+                 (5, "a", date(2023, 10, 4))], "n int, s string, day date")
     w.create_or_replace(rows, table, partition_by="day")
     w.delete_where(spark, table, F.col("s") == "a", "day")
     assert bag(spark.table(table).select("n")) == [(2,), (4,)]
