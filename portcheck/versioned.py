@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from quayside.operators import versions as vs
 
 from .registry import check
