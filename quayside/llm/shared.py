@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..settings import materialize
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``materialize``, and then let Spark drop the shuffle files that led there.
+
+    Spark's cleaner drops them once the driver's memory is collected, which a driver with little to do
+    may put off for half an hour.
+    """
+    spark, df = df.sparkSession, materialize(df, name)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return df
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -9,8 +9,9 @@ of the corpus.  Buckets are refined only as far as needed for strings of ``LENGT
    about one suffix in twenty-seven enters the sort.  Neighbouring strings with one anchor form a run.
 2. Buckets of one anchor identifier are refined by the identifier of their run's whole extent.  In a
    refined bucket all but the first run are settled: all their strings start earlier elsewhere.
-3. The first runs of buckets that fell apart are refined once more, string by string, by pairs of
-   identifiers of the two halves of each string.  All but the first string of such a bucket are repeats.
+3. The first runs of buckets that fell apart go on with their bytes: by the gram and ``STEP`` bytes
+   beyond or before it, one of which each of their strings holds, and there, string by string, by the
+   identifiers of both halves.  All but the first string of such a bucket are repeats.
 
 Repeats within one batch are settled before the shuffle, so a passage that a large part of the corpus
 shares arrives once per batch.  Identifiers have 128 bits where equality decides.
@@ -27,18 +28,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..settings import materialize
-from .arrays import CODES_2, Rolling, first_smallest, mix, texts_of
-from .shared import batch, by_batch, table
+from .arrays import CODES, CODES_2, Rolling, first_smallest, mix, texts_of
+from .shared import batch, by_batch, stored, table
 
 LENGTH = 100
 GRAM = 48
+STEP = (LENGTH - GRAM) // 2
+PLACE = 14  # bits for the anchor and the number of starts of a run
 SPAN = 1 << 20  # bytes of text that are hashed at a time
 _NULL = -(1 << 63)  # stands for a null doc_id: it sorts first
 
 
 def _runs(text: np.ndarray):
-    """Runs of strings with one anchor: anchor identifier, extent identifier, first and last start."""
+    """Runs of strings with one anchor: anchor identifier, extent identifier, place."""
     for low in range(0, max(0, len(text) - LENGTH + 1), SPAN):
         part = text[low : low + SPAN + LENGTH - 1]
         one = Rolling(part)
@@ -48,7 +50,9 @@ def _runs(text: np.ndarray):
         at = anchor[begin]
         key = one.spans(at, at + GRAM)
         extent = Rolling(part, CODES_2).spans(begin, end + LENGTH) + mix((at - begin).astype(np.uint64))
-        yield key, mix(extent), begin + low, end + low
+        # first start, anchor after it, and further starts, in one number
+        place = ((begin + low) << PLACE) | ((at - begin) << (PLACE // 2)) | (end - begin)
+        yield key, mix(extent), place
 
 
 def _texts(rows):
@@ -57,8 +61,15 @@ def _texts(rows):
         yield k, name, data[offsets[k] : offsets[k + 1]]
 
 
+def _parts_of(place):
+    """First start, anchor and last start of a run."""
+    half = PLACE // 2
+    first = place >> PLACE
+    return first, first + ((place >> half) & ((1 << half) - 1)), first + (place & ((1 << half) - 1))
+
+
 def _batch_runs(rows):
-    """All runs of a batch in order of key, extent, id and start, and which are first of their bucket."""
+    """All runs of a batch in order of key, extent, id and place, and which repeat an earlier one."""
     parts, names = [], []
     for _, name, text in _texts(rows):
         for found in _runs(text):
@@ -66,15 +77,16 @@ def _batch_runs(rows):
             names.append(np.full(len(found[0]), name, np.int64))
     if not parts:
         return None
-    key, extent, first, last = (np.concatenate([p[c] for p in parts]) for c in range(4))
+    key, extent, place = (np.concatenate([p[c] for p in parts]) for c in range(3))
     name = np.concatenate(names)
-    order = np.lexsort((first, name, extent, key))
-    key, extent, first, last, name = key[order], extent[order], first[order], last[order], name[order]
+    order = np.lexsort((place, name, extent, key))
+    key, extent, place, name = key[order], extent[order], place[order], name[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (extent[1:] != extent[:-1])
     lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    repeat = (name != name[lead]) | (first != first[lead])
-    return key, extent, first, last, name, repeat
+    # a row that is there twice is not its own repeat
+    repeat = (name != name[lead]) | (place != place[lead])
+    return key, extent, place, name, new, repeat
 
 
 def _spans(name, start, end):
@@ -98,14 +110,10 @@ def _suffixes(docs: DataFrame) -> DataFrame:
 
     def work(rows):
         if (found := _batch_runs(rows)) is not None:
-            key, extent, first, last, name, repeat = found
-            # a row per bucket and batch; the same place twice is one place
-            own = ~repeat
-            own[1:] &= (key[1:] != key[:-1]) | (extent[1:] != extent[:-1])
-            yield batch(key=key[own].view(np.int64), extent=extent[own].view(np.int64), id=name[own],
-                        first=first[own], count=(last - first + 1)[own].astype(np.int32))
+            key, extent, place, name, new, _ = found
+            yield batch(key=key[new].view(np.int64), extent=extent[new].view(np.int64), id=name[new], place=place[new])
 
-    return by_batch(docs, work, "key long, extent long, id long, first long, count int")
+    return by_batch(docs, work, "key long, extent long, id long, place long")
 
 
 def _settled(docs: DataFrame) -> DataFrame:
@@ -113,99 +121,131 @@ def _settled(docs: DataFrame) -> DataFrame:
 
     def work(rows):
         if (found := _batch_runs(rows)) is not None:
-            _, _, first, last, name, repeat = found
+            _, _, place, name, _, repeat = found
             if repeat.any():
-                yield _spans(name[repeat], first[repeat], last[repeat] + LENGTH)
+                first, _, last = _parts_of(place[repeat])
+                yield _spans(name[repeat], first, last + LENGTH)
 
     return by_batch(docs, work, "id long, spans binary")
 
 
-def _strings(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """Every string of the given runs by the identifiers of its halves, first ones of a batch only,
-    and the rest as spans."""
-    wanted = runs.groupBy("id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+def _halves(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """The bytes of the given runs, in buckets one step deeper: strings that go ``STEP`` bytes beyond
+    the anchor's gram are known by it and those bytes, the others by it and the bytes before it."""
+    wanted = runs.groupBy("id").agg(F.collect_list("place").alias("places"))
 
     def work(rows):
-        one, two, name, start = [], [], [], []
-        runs = rows.column("runs").to_pylist()
+        places = rows.column("places")
+        subs, names, starts, counts, data = [], [], [], [], []
         for k, who, text in _texts(rows):
-            first = np.array([r["first"] for r in runs[k]], np.int64)
-            count = np.array([r["count"] for r in runs[k]], np.int64)
-            order = np.argsort(first)
-            first, count = first[order], count[order]
+            place = np.sort(np.asarray(places[k].values))
+            first, anchor, last = _parts_of(place)
             for low in range(0, len(text), SPAN):
-                here = (first >= low) & (first < low + SPAN)
-                if not here.any():
+                here = np.flatnonzero((first >= low) & (first < low + SPAN))
+                if not len(here):
                     continue
                 part = text[low : low + SPAN + 2 * LENGTH]
-                n = count[here]
-                at = np.repeat(first[here] - low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                half = LENGTH // 2
-                for codes, found in ((None, one), (CODES_2, two)):
-                    hashes = Rolling(part) if codes is None else Rolling(part, codes)
-                    left, right = hashes.spans(at, at + half), hashes.spans(at + half, at + LENGTH)
-                    found.append(mix(left + mix(right)))
-                name.append(np.full(len(at), who, np.int64))
-                start.append(at + low)
-        if not one:
-            return
-        one, two, name, start = map(np.concatenate, (one, two, name, start))
-        order = np.lexsort((start, name, two, one))
-        one, two, name, start = one[order], two[order], name[order], start[order]
-        new = np.ones(len(one), bool)
-        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        lead = np.maximum.accumulate(np.where(new, np.arange(len(one)), 0))
-        repeat = (name != name[lead]) | (start != start[lead])
-        yield batch(one=one[new].view(np.int64), two=two[new].view(np.int64), id=name[new], start=start[new],
-                    spans=pa.nulls(int(new.sum()), pa.binary()))
-        if repeat.any():
-            done = _spans(name[repeat], start[repeat], start[repeat] + LENGTH)
-            n = done.num_rows
-            yield batch(one=pa.nulls(n, pa.int64()), two=pa.nulls(n, pa.int64()), id=done.column("id"),
-                        start=pa.nulls(n, pa.int64()), spans=done.column("spans"))
-
-    return by_batch(docs.join(wanted, "id"), work, "one long, two long, id long, start long, spans binary")
+                hashes, raw = Rolling(part), part.tobytes()
+                f, a, b = first[here] - low, anchor[here] - low, last[here] - low
+                for beyond in (True, False):
+                    s = np.maximum(f, a - STEP) if beyond else f
+                    e = b if beyond else np.minimum(b, a - STEP - 1)
+                    some = np.flatnonzero(s <= e)
+                    if not len(some):
+                        continue
+                    s, e, at = s[some], e[some], a[some]
+                    gram = hashes.spans(at, at + GRAM + STEP) if beyond else hashes.spans(at - STEP - 1, at + GRAM)
+                    subs.append(mix(gram + np.uint64(beyond)))
+                    names.append(np.full(len(s), who, np.int64))
+                    starts.append(s + low)
+                    counts.append(e - s + 1)
+                    data += [raw[x:y] for x, y in zip(s.tolist(), (e + LENGTH).tolist())]
+        if subs:
+            yield batch(sub=np.concatenate(subs).view(np.int64), id=np.concatenate(names), first=np.concatenate(starts),
+                        count=np.concatenate(counts), data=pa.array(data, pa.binary()))
+
+    return by_batch(docs.join(wanted, "id"), work, "sub long, id long, first long, count long, data binary")
+
+
+def _repeated_strings(halves: DataFrame) -> DataFrame:
+    """Spans of strings that occur before in their bucket.
+
+    Buckets come in order of id and place, so a string is a repeat if it was seen; of a bucket that goes
+    on in the next batch, only the identifiers of its strings are kept.
+    """
+
+    def work(batches):
+        open_sub, seen = None, np.zeros((2, 0), np.uint64)
+        for rows in batches:
+            sub, name, first, count = (rows.column(c).to_numpy() for c in ("sub", "id", "first", "count"))
+            raw = rows.column("data").to_pylist()
+            ends = np.cumsum([len(x) for x in raw])
+            begin = ends - np.array([len(x) for x in raw])
+            data = np.frombuffer(b"".join(raw), np.uint8)
+            row = np.repeat(np.arange(len(sub)), count)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            at, half = begin[row] + step, LENGTH // 2
+            both = []
+            for codes in (CODES, CODES_2):
+                hashes = Rolling(data, codes)
+                both.append(mix(hashes.spans(at, at + half) + mix(hashes.spans(at + half, at + LENGTH))))
+            one, two = both
+            order = np.lexsort((np.arange(len(row)), two, one, sub[row]))
+            same = np.zeros(len(order), bool)
+            left, right = order[:-1], order[1:]
+            same[1:] = (sub[row[left]] == sub[row[right]]) & (one[left] == one[right]) & (two[left] == two[right])
+            repeat = np.zeros(len(row), bool)
+            repeat[order] = same
+            if open_sub is not None and sub[0] == open_sub:
+                here = np.flatnonzero(sub[row] == open_sub)
+                near = np.minimum(np.searchsorted(seen[0], one[here]), seen.shape[1] - 1)
+                repeat[here] |= (seen[0][near] == one[here]) & (seen[1][near] == two[here])
+            else:
+                seen = np.zeros((2, 0), np.uint64)
+            if repeat.any():
+                start = first[row[repeat]] + step[repeat]
+                yield _spans(name[row[repeat]], start, start + LENGTH)
+            open_sub = sub[-1]
+            here = np.flatnonzero((sub[row] == open_sub) & ~repeat)
+            if sub[0] != open_sub:
+                seen = np.zeros((2, 0), np.uint64)
+            seen = np.concatenate([seen, np.stack([one[here], two[here]])], 1)
+            seen = seen[:, np.argsort(seen[0], kind="stable")]
+
+    return halves.repartition("sub").sortWithinPartitions("sub", "id", "first").mapInArrow(work, "id long, spans binary")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """id and lists of spans [first, end) of its text that start earlier elsewhere; spans may overlap."""
-    order = ["id", "first"]
-    bucket = Window.partitionBy("key", "extent").orderBy(*order)
+    """id, lists of spans and places of runs of its text that start earlier elsewhere; all may overlap."""
+    order = F.struct("id", "place")
+    bucket = Window.partitionBy("key", "extent").orderBy("id", "place")
     anchor = Window.partitionBy("key")
-    decided = (
+    decided = stored(
         _suffixes(docs)
-        .withColumn("_lead", F.first(F.struct(*order)).over(bucket))
-        .withColumn("repeat", F.col("_lead") != F.struct(*order))
+        .withColumn("repeat", F.first(order).over(bucket) != order)
         .withColumn("mixed", F.min("extent").over(anchor) != F.max("extent").over(anchor))
-        .filter("repeat or mixed").select("id", "first", "count", "repeat")
-    )
-    decided = materialize(decided, "runs")
-    strings = materialize(_strings(docs, decided.filter("not repeat").select("id", "first", "count").distinct()), "strings")
-    place = Window.partitionBy("one", "two").orderBy("id", "start")
-    single = (
-        strings.filter("one is not null")
-        .withColumn("_lead", F.first(F.struct("id", "start")).over(place))
-        .filter(F.col("_lead") != F.struct("id", "start"))
-        .select("id", F.col("start").alias("first"), (F.col("start") + LENGTH).alias("end"))
-    )
-    runs = decided.filter("repeat").select("id", "first", (F.col("first") + F.col("count") - 1 + LENGTH).alias("end"))
-    spans = runs.unionByName(single).groupBy("id").agg(F.collect_list(F.struct("first", "end")).alias("pairs"))
-    lists = _settled(docs).unionByName(strings.filter("one is null").select("id", "spans")).groupBy("id").agg(
-        F.collect_list("spans").alias("lists"))
-    return lists.join(spans, "id", "full")
+        .filter("repeat or mixed").select("id", "place", "repeat"),
+        "runs")
+    strings = _repeated_strings(_halves(docs, decided.filter("not repeat").select("id", "place").distinct()))
+    lists = stored(
+        _settled(docs).unionByName(strings).groupBy("id").agg(F.collect_list("spans").alias("lists")), "spans")
+    places = decided.filter("repeat").groupBy("id").agg(F.collect_list("place").alias("places"))
+    return lists.join(places, "id", "full")
 
 
 def with_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """All columns and ``_spans``: lists of repeated spans of the text's bytes, null if there are none."""
+    """All columns, and what repeats in the text's bytes as ``lists`` and ``places``, null if nothing does."""
     keyed = docs.withColumn("id", F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)))
     found = repeats(keyed.select("id", F.col(text).alias("text")))
     return keyed.join(found, "id", "left")
 
 
-def _merged(lists, pairs) -> np.ndarray:
+def _merged(lists, places) -> np.ndarray:
+    """Spans to remove, apart and in order."""
     parts = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in lists or ()]
-    if pairs:
-        parts.append(np.array([(p["first"], p["end"]) for p in pairs], np.int64))
+    if places:
+        first, _, last = _parts_of(np.array(places, np.int64))
+        parts.append(np.stack([first, last + LENGTH], 1))
     if not parts:
         return np.zeros((0, 2), np.int64)
     spans = np.concatenate(parts)
@@ -228,9 +268,9 @@ def _kept(text: bytes, spans: np.ndarray) -> bytes:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     def work(rows):
         names, sizes, removed, n_spans, digests = rows.column("doc_id"), [], [], [], []
-        for text, lists, pairs in zip(*(rows.column(c).to_pylist() for c in ("text", "lists", "pairs"))):
+        for text, lists, places in zip(*(rows.column(c).to_pylist() for c in ("text", "lists", "places"))):
             data = (text or "").encode("utf-8", "surrogatepass")
-            spans = _merged(lists, pairs)
+            spans = _merged(lists, places)
             sizes.append(len(data))
             removed.append(int((spans[:, 1] - spans[:, 0]).sum()))
             n_spans.append(len(spans))
@@ -239,7 +279,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     n_spans=pa.array(n_spans, pa.int64()), kept_sha256=pa.array(digests, pa.string()))
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return by_batch(with_spans(docs).select("doc_id", "text", "lists", "pairs"), work,
+    return by_batch(with_spans(docs).select("doc_id", "text", "lists", "places"), work,
                     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -252,8 +292,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def work(rows):
         texts, keep = [], []
-        for text, lists, pairs in zip(*(rows.column(c).to_pylist() for c in ("text", "lists", "pairs"))):
-            spans = _merged(lists, pairs)
+        for text, lists, places in zip(*(rows.column(c).to_pylist() for c in ("text", "lists", "places"))):
+            spans = _merged(lists, places)
             if text is None or not len(spans):
                 texts.append(text)
                 keep.append(True)
@@ -275,4 +315,4 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(pa.array(keep))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return by_batch(with_spans(docs).select(*names, "lists", "pairs"), work, fields)
+    return by_batch(with_spans(docs).select(*names, "lists", "places"), work, fields)
