@@ -4,10 +4,11 @@ Each text's set of word shingles is hashed once; the hash's top bits name a bin,
 smallest hash, and an empty bin borrows from the first full bin of a fixed random order of its own
 (optimal densification).  Bands of bins form bucket keys.  Equal sets meet first, as one node.  In a
 bucket, all nodes are linked with one centre, so candidates grow with the bucket and not its square;
-each candidate is confirmed on the full sets.  Buckets that still hold several components go through
-two further steps, so that no link between different texts is lost: a star around the node closest to
-the bucket's consensus sketch, and then all pairs across components whose sketches agree in at least
-``ESTIMATE`` of the bins (four standard deviations below the threshold), compared block by block.
+each candidate is confirmed on the full sets; a node meets one centre at a time.  Buckets that still
+hold several components go on, so that no link between different texts is lost: stars around the node
+closest to the bucket's consensus sketch until none joins anything more, and then all pairs across
+components whose sketches agree in at least ``ESTIMATE`` of the bins (four standard deviations below
+the threshold), compared block by block.
 
 A set without shingles is linked with nothing.  Null ids are left out of the graph and name themselves.
 Rows that share an id are one node.  Empty tables work; only doc_id and text are looked at.
@@ -146,8 +147,8 @@ def _bucket_pairs(rows: DataFrame, star: bool) -> DataFrame:
             fit = there[(part[there] != part[k]) & (100 * np.minimum(n[there], n[k]) >= PERCENT * np.maximum(n[there], n[k]))]
             if len(fit):
                 same = ((bins[fit] == bins[k]).mean(1) - 1 / 256) / (1 - 1 / 256)
-                fit = fit[same >= ESTIMATE]
-                yield np.full(len(fit), node[k]), node[fit]
+                good = same >= ESTIMATE
+                yield np.full(int(good.sum()), node[k]), node[fit[good]], same[good]
 
     def one(found):
         node, part, n, side = (np.array(x) for x in zip(*((r[0], r[1], r[2], r[4]) for r in found)))
@@ -164,15 +165,16 @@ def _bucket_pairs(rows: DataFrame, star: bool) -> DataFrame:
             yield from pairs(node, part, n, bins, [k], there)
 
     def work(batches):
-        held, at = [], None
-        out = []
+        held, at, out = [], None, []
 
         def flush():
-            parts = list(one(held)) if len(held) > 1 else []
-            if parts:
-                a, b = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-                if len(a):
-                    out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+            if len(held) > 1:
+                out.extend(p for p in one(held) if len(p[0]))
+
+        def found():
+            a, b, like = (np.concatenate([p[c] for p in out]) for c in range(3))
+            out.clear()
+            return batch(a=a, b=b, like=like)
 
         for rows in batches:
             for key, cell, *row in zip(*(rows.column(c).to_pylist() for c in ("key", "cell", "node", "component", "n", "bins", "side"))):
@@ -181,15 +183,16 @@ def _bucket_pairs(rows: DataFrame, star: bool) -> DataFrame:
                     held, at = [], (key, cell)
                 held.append(row)
             if out:
-                a, b = np.unique(np.concatenate(out, 1), axis=1)
-                out.clear()
-                yield batch(a=a, b=b)
+                yield found()
         flush()
         if out:
-            a, b = np.unique(np.concatenate(out, 1), axis=1)
-            yield batch(a=a, b=b)
+            yield found()
 
-    return rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "node").mapInArrow(work, "a long, b long").distinct()
+    pairs_found = rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "node").mapInArrow(
+        work, "a long, b long, like double")
+    if star:  # of several centres a node meets the one that looks most alike
+        return pairs_found.groupBy("b").agg(F.max_by("a", F.struct("like", "a")).alias("a")).select("a", "b")
+    return pairs_found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _in_cells(rows: DataFrame) -> DataFrame:
@@ -216,13 +219,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = leaders.select(F.explode("keys").alias("key"), "node")
     centre = F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))
     shared = buckets.groupBy("key").agg(centre.alias("_centre"), F.count("*").alias("_n")).filter("_n > 1")
-    met = materialize(
-        buckets.join(shared.select("key", F.col("_centre.node").alias("centre")), "key"), "buckets")
+    met = materialize(buckets.join(shared.select("key", "_centre"), "key"), "buckets")
     sets = materialize(full_sets(docs, met.select("node").distinct()), "sets")
-    star = met.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    # of the centres of its buckets a node meets the one that ranks first
+    star = met.groupBy(F.col("node").alias("b")).agg(F.min("_centre").alias("_c")).select(
+        F.col("_c.node").alias("a"), "b").filter("a <> b")
     links = materialize(confirm(star, sets), "links")
     found = components(links)
-    for closest in (True, False):
+    closest = True
+    while True:
         named = met.select("key", "node").join(found, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
         mixed = named.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter(
@@ -234,6 +239,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
+        elif closest:  # stars join nothing more: all that is left
+            closest = False
+            continue
+        if not closest:
+            break
     known = leaders.select(*same, "node").join(found, "node", "left").select(
         *same, F.coalesce("component", "node").alias("component_id"))
     return (
