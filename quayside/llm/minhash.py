@@ -7,7 +7,7 @@ bucket, all nodes are linked with one centre, so candidates grow with the bucket
 each candidate is confirmed on the full sets; a node meets one centre at a time.  Buckets that still
 hold several components go on, so that no link between different texts is lost: stars around the node
 closest to the bucket's consensus sketch until none joins anything more, and then all pairs across
-components whose sketches agree in at least ``ESTIMATE`` of the bins (four standard deviations below
+components whose sketches agree in at least ``ESTIMATE`` of the bins (over three standard deviations below
 the threshold), compared block by block.
 
 A set without shingles is linked with nothing.  Null ids are left out of the graph and name themselves.
@@ -29,7 +29,8 @@ WIDTH = 5
 PERCENT = 75
 BINS = 256
 ROWS = 5  # bins in a band: at a similarity of 0.75 some band agrees but for one pair in a million
-ESTIMATE = 0.64
+ESTIMATE = 0.66
+LIKELY = 0.73  # pairs that look this much alike are confirmed before the others
 BLOCK = 2048  # nodes of a bucket that are compared with each other in one task
 MEMBERS = 512  # candidates of a centre that are confirmed in one task
 
@@ -138,38 +139,49 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
         work, "a long, b long")
 
 
-def _bucket_pairs(rows: DataFrame, star: bool) -> DataFrame:
-    """Candidate pairs in buckets: rows have key, cell, node, component, n, bins, side."""
-
-    def pairs(node, part, n, bins, here, there):
-        """Pairs of different components and fitting sizes whose sketches agree enough."""
-        for k in here:
-            fit = there[(part[there] != part[k]) & (100 * np.minimum(n[there], n[k]) >= PERCENT * np.maximum(n[there], n[k]))]
-            if len(fit):
-                same = ((bins[fit] == bins[k]).mean(1) - 1 / 256) / (1 - 1 / 256)
-                good = same >= ESTIMATE
-                yield np.full(int(good.sum()), node[k]), node[fit[good]], same[good]
-
-    def one(found):
-        node, part, n, side = (np.array(x) for x in zip(*((r[0], r[1], r[2], r[4]) for r in found)))
-        bins = np.frombuffer(b"".join(r[3] for r in found), np.uint8).reshape(len(found), BINS)
-        if star:
-            flat = bins.astype(np.int64) + 256 * np.arange(BINS)
-            mode = np.bincount(flat.ravel(), minlength=256 * BINS).reshape(BINS, 256).argmax(1).astype(np.uint8)
-            yield from pairs(node, part, n, bins, [int((bins == mode).sum(1).argmax())], np.arange(len(found)))
-            return
-        one_block = side.min() == side.max()
-        for k in range(len(found)):
-            # within a block each pair once; between two blocks only across
-            there = np.arange(k + 1, len(found)) if one_block else np.flatnonzero(side > side[k])
-            yield from pairs(node, part, n, bins, [k], there)
+_COLUMNS = ("node", "component", "n", "bins", "band", "side", "chosen")
+
+
+def _pairs_in(found: list, star: bool, least: float):
+    """Candidates among the rows of one cell: arrays a, b and how alike their sketches look.
+
+    Only nodes of different components and fitting sizes whose sketches agree enough.  In a star the
+    centre, closest to what most sketches say in each bin, meets the nodes that chose this bucket;
+    otherwise each pair meets once in a cell, and only in the first band that both agree in.
+    """
+    node, part, n, band, side, chosen = (np.array([r[c] for r in found]) for c in (0, 1, 2, 4, 5, 6))
+    bins = np.frombuffer(b"".join(r[3] for r in found), np.uint8).reshape(len(found), BINS)
+
+    def alike(k, there):
+        fit = there[(part[there] != part[k]) & (100 * np.minimum(n[there], n[k]) >= PERCENT * np.maximum(n[there], n[k]))]
+        same = bins[fit] == bins[k]
+        like = (same.mean(1) - 1 / 256) / (1 - 1 / 256)
+        good = like >= least
+        if not star:
+            bands = same[:, : len(_BAND) * ROWS].reshape(len(fit), len(_BAND), ROWS).all(2)
+            good &= bands.argmax(1) == band[k]
+        return np.full(int(good.sum()), node[k]), node[fit[good]], like[good]
+
+    if star:
+        flat = bins.astype(np.int64) + 256 * np.arange(BINS)
+        mode = np.bincount(flat.ravel(), minlength=256 * BINS).reshape(BINS, 256).argmax(1).astype(np.uint8)
+        yield alike(int((bins == mode).sum(1).argmax()), np.flatnonzero(chosen))
+        return
+    one_block = side.min() == side.max()
+    for k in range(len(found) - 1):
+        # within a block each pair once; between two blocks only across
+        yield alike(k, np.arange(k + 1, len(found)) if one_block else np.flatnonzero(side > side[k]))
+
+
+def _bucket_pairs(rows: DataFrame, star: bool, least: float) -> DataFrame:
+    """Candidate pairs (a, b) in the cells of buckets."""
 
     def work(batches):
         held, at, out = [], None, []
 
         def flush():
             if len(held) > 1:
-                out.extend(p for p in one(held) if len(p[0]))
+                out.extend(p for p in _pairs_in(held, star, least) if len(p[0]))
 
         def found():
             a, b, like = (np.concatenate([p[c] for p in out]) for c in range(3))
@@ -177,7 +189,7 @@ def _bucket_pairs(rows: DataFrame, star: bool) -> DataFrame:
             return batch(a=a, b=b, like=like)
 
         for rows in batches:
-            for key, cell, *row in zip(*(rows.column(c).to_pylist() for c in ("key", "cell", "node", "component", "n", "bins", "side"))):
+            for key, cell, *row in zip(*(rows.column(c).to_pylist() for c in ("key", "cell", *_COLUMNS))):
                 if (key, cell) != at:
                     flush()
                     held, at = [], (key, cell)
@@ -188,23 +200,40 @@ def _bucket_pairs(rows: DataFrame, star: bool) -> DataFrame:
         if out:
             yield found()
 
-    pairs_found = rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "node").mapInArrow(
+    pairs = rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "node").mapInArrow(
         work, "a long, b long, like double")
-    if star:  # of several centres a node meets the one that looks most alike
-        return pairs_found.groupBy("b").agg(F.max_by("a", F.struct("like", "a")).alias("a")).select("a", "b")
-    return pairs_found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _in_cells(rows: DataFrame) -> DataFrame:
-    """Rows of a bucket in cells of at most about two blocks, so that every pair meets in one cell."""
-    blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    side = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
-    return (
-        rows.join(blocks, "key").withColumn("side", side)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .withColumn("cell", F.least("side", "_other").cast("long") * F.lit(1 << 31) + F.greatest("side", "_other"))
-        .select("key", "cell", "node", "component", "n", "bins", "side")
-    )
+    return pairs.select("a", "b") if star else pairs.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _in_cells(rows: DataFrame, star: bool) -> DataFrame:
+    """Rows of a bucket in cells of about one block each for stars, else of at most two blocks, so that
+    every pair of the bucket meets in a cell."""
+    rows = rows.withColumn("_blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
+        "side", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    if star:
+        rows = rows.withColumn("cell", F.col("side").cast("long"))
+    else:
+        rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumn(
+            "cell", F.least("side", "_other").cast("long") * F.lit(1 << 31) + F.greatest("side", "_other"))
+    return rows.select("key", "cell", *_COLUMNS)
+
+
+def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool) -> DataFrame:
+    """Rows of the buckets that still hold several components; for stars, of those that some node chose:
+    the largest of its buckets."""
+    named = met.select("key", "band", "node").join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    mixed = named.groupBy("key").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("size")
+    ).filter("_low <> _high").select("key", "size")
+    rows = named.join(mixed, "key").withColumn("chosen", F.lit(True))
+    if star:
+        choice = rows.groupBy("node").agg(F.max(F.struct("size", "key"))["key"].alias("_choice"))
+        rows = rows.join(choice, "node").withColumn("chosen", F.col("key") == F.col("_choice")).drop("_choice")
+        rows = rows.join(choice.select(F.col("_choice").alias("key")).distinct(), "key", "left_semi")
+    return _in_cells(
+        rows.join(leaders.select("node", F.col("n_shingles").alias("n"), "bins"), "node"), star)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -216,7 +245,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(
             F.min("doc_id").alias("node"), F.min_by(F.struct("keys", "bins"), "doc_id").alias("s"))
         .select(*same, "node", "s.keys", "s.bins"), "leaders")
-    buckets = leaders.select(F.explode("keys").alias("key"), "node")
+    buckets = leaders.select(F.posexplode("keys").alias("band", "key"), "node")
     centre = F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))
     shared = buckets.groupBy("key").agg(centre.alias("_centre"), F.count("*").alias("_n")).filter("_n > 1")
     met = materialize(buckets.join(shared.select("key", "_centre"), "key"), "buckets")
@@ -226,24 +255,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("_c.node").alias("a"), "b").filter("a <> b")
     links = materialize(confirm(star, sets), "links")
     found = components(links)
-    closest = True
-    while True:
-        named = met.select("key", "node").join(found, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter(
-            "_low <> _high").select("key")
-        left = named.join(mixed, "key").join(
-            leaders.select("node", F.col("n_shingles").alias("n"), "bins"), "node").select(
-            "key", "node", "component", "n", "bins")
-        more = materialize(confirm(_bucket_pairs(_in_cells(left), closest), sets), "links")
-        if not more.isEmpty():
+    # stars until they join nothing more, then all pairs: likely ones, and what is left after those
+    steps = [(True, ESTIMATE), (False, LIKELY), (False, ESTIMATE)]
+    while steps:
+        star, least = steps[0]
+        rows = _mixed(met, found, leaders, star)
+        more = materialize(confirm(_bucket_pairs(rows, star, least), sets), "links")
+        joined = not more.isEmpty()
+        if joined:
             links = links.unionByName(more)
             found = components(links)
-        elif closest:  # stars join nothing more: all that is left
-            closest = False
-            continue
-        if not closest:
-            break
+        if not (star and joined):
+            steps.pop(0)
     known = leaders.select(*same, "node").join(found, "node", "left").select(
         *same, F.coalesce("component", "node").alias("component_id"))
     return (
