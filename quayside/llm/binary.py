@@ -141,11 +141,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def work(batches):
         for rows in batches:
             for names, sizes, data, start in zip(*(rows.column(c) for c in ("doc_ids", "lengths", "codes", "_start"))):
-                codes, sizes, at = Codes(data.as_py()), np.array(sizes.as_py(), np.int64), 0
-                crc = []
-                for n in sizes.tolist():
-                    crc.append(zlib.crc32(codes.run(at, at + n).astype("<u4").tobytes()))
-                    at += n
+                codes, sizes = Codes(data.as_py()), np.array(sizes.as_py(), np.int64)
+                ids, ends = codes.run(0, len(codes)).astype("<u4"), np.cumsum(sizes)
+                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
                 yield batch(
                     doc_id=pa.array(names.as_py(), pa.int64()), start=start.as_py() + np.cumsum(sizes) - sizes,
                     n_tokens=sizes, ids_crc32=pa.array(crc, pa.int64()),

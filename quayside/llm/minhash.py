@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..settings import materialize
 from .arrays import BLANKS, groups, mix, shingles, texts_of, words_of
 from .graph import components
-from .shared import batch, by_batch, table
+from .shared import batch, by_batch, stored, table
 
 WIDTH = 5
 PERCENT = 75
@@ -94,24 +94,26 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and its shingle hashes in order, 8 bytes each, for some doc_ids."""
+    """node and its shingle hashes in order, 8 bytes each, and their first 4 bytes, for some doc_ids."""
 
     def work(rows):
-        found = [None] * rows.num_rows
+        found, heads = [None] * rows.num_rows, [None] * rows.num_rows
         for k, hashes in shingle_sets(rows):
             found[k] = hashes.tobytes()
-        yield batch(node=rows.column("doc_id"), hashes=pa.array(found, pa.binary()))
+            heads[k] = (hashes >> _U(32)).astype(np.uint32).tobytes()
+        yield batch(node=rows.column("doc_id"), heads=pa.array(heads, pa.binary()), hashes=pa.array(found, pa.binary()))
 
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(
         nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return by_batch(chosen, work, "node long, hashes binary")
+    return by_batch(chosen, work, "node long, heads binary, hashes binary")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of pairs (a, b), those whose sets are alike enough.
+def _alike(pairs: DataFrame, sets: DataFrame, column: str, kind: type) -> DataFrame:
+    """Of pairs (a, b), those whose hashes in a column are alike enough.
 
-    The candidates of a node a come to tasks of about ``MEMBERS`` each, with one copy of its set.
+    The candidates of a node a come to tasks of about ``MEMBERS`` each, with one copy of its hashes.
     """
+    sets = sets.select("node", F.col(column).alias("hashes"))
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("_parts"))
     dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("long"))
     members = dealt.join(sets, dealt["b"] == sets["node"]).select("a", "part", F.lit(1).alias("kind"), "b", "hashes")
@@ -122,14 +124,16 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
         centre, own = None, None
         for rows in batches:
             a, b = [], []
-            for at, part, kind, other, data in zip(*(rows.column(c).to_pylist() for c in ("a", "part", "kind", "b", "hashes"))):
-                found = np.frombuffer(data, np.uint64)
-                if kind == 0:
+            for at, part, is_member, other, data in zip(
+                *(rows.column(c).to_pylist() for c in ("a", "part", "kind", "b", "hashes"))
+            ):
+                found = np.frombuffer(data, kind)
+                if not is_member:
                     centre, own = (at, part), found
                 elif centre == (at, part) and len(own) and len(found):
                     near = np.minimum(np.searchsorted(own, found), len(own) - 1)
                     both = int((own[near] == found).sum())
-                    if 100 * both >= percent * (len(own) + len(found) - both):
+                    if 100 * both >= PERCENT * (len(own) + len(found) - both):
                         a.append(at)
                         b.append(other)
             if a:
@@ -139,6 +143,16 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
         work, "a long, b long")
 
 
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b), those whose full sets are alike enough.
+
+    Hashes with equal heads are no fewer than equal hashes, so the heads alone rule out most pairs that
+    are not alike, at half the bytes; what they leave is decided by the whole hashes.
+    """
+    near = stored(_alike(stored(pairs, "pairs"), sets, "heads", np.uint32), "pairs")
+    return stored(_alike(near, sets, "hashes", np.uint64), "links")
+
+
 _COLUMNS = ("node", "component", "n", "bins", "band", "side", "chosen")
 
 
@@ -248,19 +262,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = leaders.select(F.posexplode("keys").alias("band", "key"), "node")
     centre = F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))
     shared = buckets.groupBy("key").agg(centre.alias("_centre"), F.count("*").alias("_n")).filter("_n > 1")
-    met = materialize(buckets.join(shared.select("key", "_centre"), "key"), "buckets")
-    sets = materialize(full_sets(docs, met.select("node").distinct()), "sets")
+    met = stored(buckets.join(shared.select("key", "_centre"), "key"), "buckets")
+    sets = stored(full_sets(docs, met.select("node").distinct()), "sets")
     # of the centres of its buckets a node meets the one that ranks first
     star = met.groupBy(F.col("node").alias("b")).agg(F.min("_centre").alias("_c")).select(
         F.col("_c.node").alias("a"), "b").filter("a <> b")
-    links = materialize(confirm(star, sets), "links")
+    links = confirm(star, sets)
     found = components(links)
     # stars until they join nothing more, then all pairs: likely ones, and what is left after those
     steps = [(True, ESTIMATE), (False, LIKELY), (False, ESTIMATE)]
     while steps:
         star, least = steps[0]
         rows = _mixed(met, found, leaders, star)
-        more = materialize(confirm(_bucket_pairs(rows, star, least), sets), "links")
+        more = confirm(_bucket_pairs(rows, star, least), sets)
         joined = not more.isEmpty()
         if joined:
             links = links.unionByName(more)

@@ -45,7 +45,7 @@ class Encoder:
         self.ids = np.zeros((SLOTS, WIDTH), np.uint16 if size <= 1 << 16 else np.uint32)
 
     def one_by_one(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # no offsets
         return [np.array(e.ids, np.uint32) for e in found]
 
     def _encode_parts(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, apart: np.ndarray):
