@@ -140,14 +140,14 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
 
 def first_smallest(values: np.ndarray, width: int) -> np.ndarray:
     """For each window of ``width`` values the offset of its first smallest one."""
-    n = len(values) - width + 1
-    at = np.arange(len(values))
-    step = 1
-    while step * 2 <= width:
-        left, right = at[:-step], at[step:]
-        at = np.where(values[left] <= values[right], left, right)
-        step *= 2
-    if step < width:
-        left, right = at[:n], at[width - step : width - step + n]
-        at = np.where(values[left] <= values[right], left, right)
-    return at[: max(n, 0)]
+    at, step = np.arange(len(values)), 1
+    while step < width:
+        # windows of twice the width, or of the full one: the left half's value wins ties
+        shift = min(step, width - step)
+        if len(values) <= shift:
+            return at[:0]
+        right = values[shift:] < values[:-shift]
+        at = np.where(right, at[shift:], at[:-shift])
+        values = np.where(right, values[shift:], values[:-shift])
+        step += shift
+    return at

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .arrays import Rolling, first_smallest, groups, mix, texts_of
 from .shared import batch, by_batch, table, text_or_empty
 
-WINDOW = 32
+WINDOW = 16
 LEVELS = 256
 SPAN = 64
 POPULAR = 16
@@ -48,21 +48,24 @@ def levels(data: np.ndarray) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.int64)
     order = np.argsort(data, kind="stable")
-    value = data[order]
-    change = np.zeros(len(data) + 1)
-    active = np.arange(1, len(data))
+    # places by byte value: near in this order means equal and near in the text
+    place = order + data[order].astype(np.int64) * (len(data) + WINDOW)
+    late = np.flatnonzero(place[1:] - place[:-1] < WINDOW) + 1
+    begins, ends, weights = [], [], []
     for k in range(1, WINDOW):
-        active = active[active >= k]
-        near = (value[active] == value[active - k]) & (order[active] - order[active - k] < WINDOW)
-        active = active[near]
-        if not len(active):
+        begins.append(order[late])
+        ends.append(order[late - k])
+        weights.append(np.full(len(late), _STEP[k - 1]))
+        late = late[late > k]
+        late = late[place[late] - place[late - k - 1] < WINDOW]
+        if not len(late):
             break
-        first = np.maximum(order[active] - WINDOW + 1, 0)
-        change += _STEP[k - 1] * (
-            np.bincount(first, minlength=len(change)) - np.bincount(order[active - k] + 1, minlength=len(change)))
+    weight = np.concatenate(weights)
+    change = np.bincount(np.maximum(np.concatenate(begins) - (WINDOW - 1), 0), weight, len(data) + 1)
+    change -= np.bincount(np.concatenate(ends) + 1, weight, len(data) + 1)
     entropy = np.log2(WINDOW) - np.cumsum(change)[:n] / WINDOW
     # rounded first: sums in another order must not give another level
-    return np.clip(np.floor(np.round(entropy / np.log2(WINDOW) * LEVELS, 6)), 0, LEVELS - 1).astype(np.int64)
+    return np.clip(np.floor(np.round(entropy * (LEVELS / np.log2(WINDOW)), 6)), 0, LEVELS - 1).astype(np.int64)
 
 
 def level_counts(docs: DataFrame) -> np.ndarray:
