@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..settings import materialize
+from ..settings import materialize, scratch
 from .arrays import WORDS, groups, mix, shingles, texts_of, words_of
 from .shared import batch, by_batch, table
 
@@ -207,6 +207,11 @@ def search(stored: DataFrame, plan: _Plan, slack: int = 0) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slack: int = 2) -> DataFrame:
     """doc_id, n_words, hits, items, near: one row per row of ``docs``."""
+    with scratch(docs.sparkSession) as files:
+        return files.keep(_contamination(docs, benchmark, width, slack), "contamination")
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, width: int, slack: int) -> DataFrame:
     asked = materialize(windows(benchmark, width), "windows")
     terms = asked.select(F.explode("terms.term").alias("term")).distinct()
     n_terms = terms.count()

@@ -24,8 +24,8 @@ from .shared import batch, by_batch, table, text_or_empty
 
 WINDOW = 16
 LEVELS = 256
-SPAN = 64
-POPULAR = 16
+SPAN = 32
+POPULAR = 12
 BITS = 2048
 HASHES = 5
 FULL = 128
@@ -33,9 +33,11 @@ LEAST = 0.2  # of the highest entropy: windows below are no features
 RANGE_ROWS = 2000
 MOST_RANGES = 4096
 
-_TERMS = np.arange(WINDOW + 1) * np.log2(np.maximum(np.arange(WINDOW + 1), 1))
-_GAIN = np.diff(_TERMS)  # what an m-th equal byte adds
+# in whole units of 2**-32, so that sums are exact in any order
+_TERMS = np.arange(WINDOW + 1) * np.log2(np.maximum(np.arange(WINDOW + 1), 1)) * 2.0**32
+_GAIN = np.diff(np.round(_TERMS))  # what an m-th equal byte adds
 _STEP = np.diff(_GAIN)
+_SCALE = LEVELS / (WINDOW * np.log2(WINDOW) * 2.0**32)
 
 
 def levels(data: np.ndarray) -> np.ndarray:
@@ -63,9 +65,8 @@ def levels(data: np.ndarray) -> np.ndarray:
     weight = np.concatenate(weights)
     change = np.bincount(np.maximum(np.concatenate(begins) - (WINDOW - 1), 0), weight, len(data) + 1)
     change -= np.bincount(np.concatenate(ends) + 1, weight, len(data) + 1)
-    entropy = np.log2(WINDOW) - np.cumsum(change)[:n] / WINDOW
-    # rounded first: sums in another order must not give another level
-    return np.clip(np.floor(np.round(entropy * (LEVELS / np.log2(WINDOW)), 6)), 0, LEVELS - 1).astype(np.int64)
+    found = (np.cumsum(change[:n]) * -_SCALE + (LEVELS + 1e-6)).astype(np.int64)
+    return np.minimum(found, LEVELS - 1)
 
 
 def level_counts(docs: DataFrame) -> np.ndarray:
@@ -116,8 +117,9 @@ def digests(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
         span = len(own) - SPAN + 1
         if span > 0:
             best = first_smallest(order, SPAN)
-            doc = np.repeat(np.arange(len(texts)), sizes)[:span]
-            valid = np.arange(span) + SPAN <= offsets[doc] + n_windows[doc]
+            valid = np.ones(span, bool)
+            for end in offsets[1:-1].tolist():  # spans of windows that reach into the next text
+                valid[max(0, end - WINDOW - SPAN + 2) : end] = False
             popular = np.bincount(best[valid], minlength=len(own))
             at = np.flatnonzero((popular >= POPULAR) & (rank[own] < LEVELS))
             picked.append(window[at])

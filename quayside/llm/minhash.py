@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..settings import materialize
+from ..settings import materialize, scratch
 from .arrays import BLANKS, groups, mix, shingles, texts_of, words_of
 from .graph import components
 from .shared import batch, by_batch, stored, table
@@ -252,6 +252,11 @@ def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool) ->
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
+    with scratch(docs.sparkSession) as files:
+        return files.keep(_near_duplicates(docs), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     signed = materialize(signatures(docs), "signatures")
     same = ["n_shingles", "one", "two"]
     # equal sets: one node, named by the smallest id (copies fold before the shuffle)

@@ -28,9 +28,11 @@ END = 0
 
 
 def pieces(docs: DataFrame, vocab: str, size: int = SIZE, end: int = END, with_ids: bool = False) -> DataFrame:
-    """Pieces of at most ``size`` ids: doc_id, start, length, ids_crc32, doc_tokens (and their ids)."""
+    """Pieces of at most ``size`` ids: doc_id, start, length, ids_crc32, doc_tokens (and their ids,
+    little-endian, of two bytes each if the vocabulary has no more than 65536, else of four)."""
 
     def work(rows):
+        stored_as = "<u2" if encoder(vocab).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         doc = rows.column("doc_id")
         for i, ids, begin in encoder(vocab).column(rows.column("text")):
             n = len(begin) - 1
@@ -52,11 +54,11 @@ def pieces(docs: DataFrame, vocab: str, size: int = SIZE, end: int = END, with_i
                 "doc_tokens": total[row],
             }
             if with_ids:
-                found["ids"] = pa.array([x.tolist() for x in slices], pa.list_(pa.int64()))
+                found["ids"] = pa.array([x.astype(stored_as).tobytes() for x in slices], pa.binary())
             yield batch(**found)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    return by_batch(docs.select("doc_id", "text"), work, schema + (", ids array<long>" if with_ids else ""))
+    return by_batch(docs.select("doc_id", "text"), work, schema + (", ids binary" if with_ids else ""))
 
 
 def place(histogram: dict[int, int], size: int = SIZE) -> list[tuple[list[int], int]]:
@@ -123,4 +125,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document as pieces with their ids, sequence and offset."""
-    return pack(materialize(pieces(docs, vocabulary(), with_ids=True), "pieces"))
+    cut = materialize(
+        pieces(docs, vocabulary(), with_ids=True).withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    # ranks need only the narrow columns; the ids join the result once
+    return pack(cut.drop("ids")).join(cut.select("piece", "ids"), "piece").drop("piece")

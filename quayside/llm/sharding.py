@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.numbering import global_row_id
-from ..settings import materialize
+from ..settings import materialize, scratch
 from .shared import table, text_or_empty
 
 SHARDS = 8
@@ -33,6 +33,11 @@ def _cells(spread: DataFrame) -> DataFrame:
 
 def propagate(cells: DataFrame, quota: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """group, shard, n: how many documents of each group are in a shard after all rounds."""
+    with scratch(cells.sparkSession) as files:
+        return files.keep(_propagate(cells, quota, shards, rounds), "cells")
+
+
+def _propagate(cells: DataFrame, quota: int, shards: int, rounds: int) -> DataFrame:
     spark = cells.sparkSession
     cells = materialize(cells, "cells")
     every = spark.range(shards).select(F.col("id").cast("int").alias("shard"))

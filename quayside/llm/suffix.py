@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..settings import scratch
 from .arrays import CODES, CODES_2, Rolling, first_smallest, mix, texts_of
 from .shared import batch, by_batch, stored, table
 
@@ -217,6 +218,11 @@ def _repeated_strings(halves: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """id, lists of spans and places of runs of its text that start earlier elsewhere; all may overlap."""
+    with scratch(docs.sparkSession) as files:
+        return files.keep(_repeats(docs), "repeats")
+
+
+def _repeats(docs: DataFrame) -> DataFrame:
     order = F.struct("id", "place")
     bucket = Window.partitionBy("key", "extent").orderBy("id", "place")
     anchor = Window.partitionBy("key")
@@ -227,8 +233,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         .filter("repeat or mixed").select("id", "place", "repeat"),
         "runs")
     strings = _repeated_strings(_halves(docs, decided.filter("not repeat").select("id", "place").distinct()))
-    lists = stored(
-        _settled(docs).unionByName(strings).groupBy("id").agg(F.collect_list("spans").alias("lists")), "spans")
+    lists = _settled(docs).unionByName(strings).groupBy("id").agg(F.collect_list("spans").alias("lists"))
     places = decided.filter("repeat").groupBy("id").agg(F.collect_list("place").alias("places"))
     return lists.join(places, "id", "full")
 

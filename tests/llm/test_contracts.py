@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -277,7 +278,7 @@ def test_pipeline_stages(spark, folder):
             kept = {r["doc_id"]: r["text"] for r in before.collect()}
             got = collections.defaultdict(list)
             for r in after.collect():
-                got[r["doc_id"]].append((r["start"], r["ids"]))
+                got[r["doc_id"]].append((r["start"], np.frombuffer(r["ids"], "<u2").tolist()))
             assert {k: [i for _, ids in sorted(v) for i in ids] for k, v in got.items()} == {
                 k: [*ids_of(t), 0] for k, t in kept.items()}
             break
