@@ -14,7 +14,6 @@ from quayside.contracts import DANGEROUS, EQUIPMENT, MOVES, OVERSIZE, PREGATE, u
 from quayside.functions import slice_key
 from quayside.plans.yard import YardTables
 from quayside.settings import materialize
-from quayside.sources.readers import spread
 
 DATE_COLUMNS = [f.name for f in MOVES.fields if f.dataType.typeName() == "date"]
 
@@ -105,7 +104,7 @@ class Views:
                 )
             return landed.alias(c)
 
-        landed = self._moves_of(spread(self.table("lineitem")))
+        landed = self._moves_of(self.table("lineitem"))
         return landed.select(*[raw(c) for c in untyped(MOVES).names])
 
     @cached_property

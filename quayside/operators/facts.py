@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from .aggregate import METHODS
+from .dimension import STATUS, current_rows
 from .joins import enrich
 from .projection import keys_not_null
 
@@ -45,8 +46,9 @@ def fact_surrogate_lookup(
     )
     for d in dimensions:
         keys = [b for _, b in d.on]
-        # one id per key, or the measure would count once per version of the dimension row
-        ids = keys_not_null(d.dim, keys).groupBy(*keys).agg(F.min(d.id_col).alias(d.name))
+        # current versions; one id per key, or the measure would count once per row of the dimension
+        versions = current_rows(d.dim) if STATUS in d.dim.columns else d.dim
+        ids = keys_not_null(versions, keys).groupBy(*keys).agg(F.min(d.id_col).alias(d.name))
         facts = enrich(facts, ids, d.on, [d.name], aggregated=True)
     names = [d.name for d in dimensions]
     facts = facts.withColumns({n: F.coalesce(F.col(n), F.lit(UNKNOWN_ID).cast("bigint")) for n in names})

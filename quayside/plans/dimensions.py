@@ -14,7 +14,7 @@ from ..settings import materialize
 @dataclass(frozen=True)
 class DimensionSpec:
     """What a dimension is keyed by and keeps.  ``latest_by`` decides between feed rows of the
-    same key; among equals the largest attributes win, so the outcome never depends on order."""
+    same key, among equals the largest attributes; without it such rows are an error."""
 
     keys: tuple[str, ...]
     attributes: tuple[str, ...]
@@ -23,11 +23,11 @@ class DimensionSpec:
     latest_by: tuple[str, ...] = field(default=())
 
 
-# Columns of the four dimensions; their natural keys are the first column each.
+# Columns of the four dimensions; their natural keys are the first column each, for equipment with the start of its window.
 ARRIVAL_PLACE = DimensionSpec(("ITEM_KEY",), ("PLACE_OF_DELIVERY",))
 DEPARTURE_PLACE = DimensionSpec(("ITEM_KEY",), ("RECEIVAL_PLACE",))
 HANDLING_METHOD = DimensionSpec(("OPERATION_METHOD",), ("OPERATION_NAME", "TRANFER_LINK_DEPOT"))
-EQUIPMENT = DimensionSpec(("CHE_ID",), ("COMPANY", "MANAGE_BY", "AS_AT_TS", "EXPIRY_TS"))
+EQUIPMENT = DimensionSpec(("CHE_ID", "AS_AT_TS"), ("COMPANY", "MANAGE_BY", "EXPIRY_TS"))
 
 
 def load_dimension(
@@ -39,9 +39,14 @@ def load_dimension(
     read it, and it is as small as what changed.
     """
     columns = [*spec.keys, *spec.attributes, *spec.latest_by]
-    fed = one_per_key(
-        keys_not_null(feed, spec.keys).select(*dict.fromkeys(columns)), spec.keys, spec.latest_by
-    )
+    fed = keys_not_null(feed, spec.keys).select(*dict.fromkeys(columns))
+    if spec.latest_by:
+        fed = one_per_key(fed, spec.keys, spec.latest_by)
+    else:  # copies fold; rows that disagree must not be chosen from in silence
+        fed = fed.distinct()
+        conflict = fed.groupBy(*spec.keys).count().filter("count > 1").select(*spec.keys).first()
+        if conflict:
+            raise ValueError(f"feed rows of one key disagree, and latest_by is not set: {conflict.asDict()}")
     stored = current_rows(dim) if spec.scd_type == 2 else dim
     changes = materialize(
         split_changes(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -22,21 +22,46 @@ SESSION_CONF = {
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors are one process, may do without the
-    setting; it gets a new folder under the system's temporary one.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
-        named = context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return named.rstrip("/")
 
 
+#: paths written in each open scratch block, the innermost last
+_open: list[list[str]] = []
+
+
+class Scratch:
+    """What an open block may keep."""
+
+    def __init__(self, own: list[str]):
+        self._own = own
+
+    def keep(self, df, name: str):
+        """Store ``df`` past the end of the block (an outer block may still remove it)."""
+        df = materialize(df, name)
+        path = self._own.pop()
+        if len(_open) > 1:
+            _open[-2].append(path)
+        return df
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Whatever ``materialize`` writes inside the block is removed when it ends, kept frames aside."""
+    own: list[str] = []
+    _open.append(own)
+    try:
+        yield Scratch(own)
+    finally:
+        _open.remove(own)
+        for path in own:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/quayside/{name}-{uuid.uuid4().hex[:12]}"
@@ -51,6 +76,8 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -66,17 +66,6 @@ def read_jdbc(
     ).load()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A source read by far fewer tasks than there are cores (one JDBC query, one large row
-    group), spread over the cores; any other source as it is.
-
-    For sources that much work is done on row by row before anything else moves them.  Meant for
-    plain reads: asking a plan with shuffles for its partitions would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
-
-
 def scan(df: DataFrame, columns: Sequence[str], where: Column | None = None) -> DataFrame:
     """Columns and predicate of a scan; both end up in the reader (``ReadSchema``, ``PushedFilters``)."""
     kept = df if where is None else df.filter(where)

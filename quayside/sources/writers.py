@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -45,8 +47,13 @@ def replace_slices(df: DataFrame, path: str, slice_col: str) -> None:
 
 
 def replace_slice(df: DataFrame, path: str, slice_col: str, value) -> None:
-    """Make ``df`` the one slice ``value``; no rows empty it.  Running it again changes nothing."""
-    rows = df.drop(slice_col).hint("rebalance")
+    """Make ``df`` the one slice ``value``; no rows empty it.  Running it again changes nothing.
+
+    Rows are written as they are dealt, without a shuffle; a row of another slice is an error.
+    """
+    own = F.when(F.col(slice_col).eqNullSafe(F.lit(value)), F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"a row belongs to another slice than {value}")).cast("boolean"))
+    rows = df.filter(own).drop(slice_col) if slice_col in df.columns else df
     rows.write.mode("overwrite").parquet(f"{path}/{slice_col}={value}")
 
 
@@ -54,7 +61,7 @@ def land_slices(
     source: DataFrame,
     path: str,
     slice_col: str,
-    mode: str = "symmetric",
+    mode: str = "copies",
     days: Sequence | None = None,
 ) -> None:
     """Bring stored slices up to date with the source, rewriting only those that changed.
@@ -62,15 +69,20 @@ def land_slices(
     One comparison covers one day or a whole back-fill; with nothing changed nothing is written.
     Only ``days`` (default: those the source has rows for) are read on either side.
     """
-    if days is None:
-        days = [row[0] for row in source.select(slice_col).distinct().collect()]
-    due = F.col(slice_col).isin(*days)
-    source = source.filter(due)
-    stored = read_or_empty(source.sparkSession, path, source.schema).filter(due)
+    if days is not None:
+        listed = [F.col(slice_col).eqNullSafe(F.lit(day)) for day in days]
+        source = source.filter(reduce(or_, listed, F.lit(False)))
+    # read once: what is compared is what is stored, even if the source changes meanwhile
+    source = materialize(source, "due-slices")
+    due = source.select(F.col(slice_col).alias("_due")).distinct()
+    stored = read_or_empty(source.sparkSession, path, source.schema)
+    stored = stored.join(due, stored[slice_col].eqNullSafe(due["_due"]), "left_semi")
     # settled before writing starts: the write must not re-read the slices it is replacing
     changed = materialize(changed_slices(stored, source, slice_col, mode), "changed-slices")
     if not changed.isEmpty():
-        replace_slices(source.join(changed, slice_col, "left_semi"), path, slice_col)
+        changed = changed.withColumnRenamed(slice_col, "_changed")
+        rows = source.join(changed, source[slice_col].eqNullSafe(changed["_changed"]), "left_semi")
+        replace_slices(rows, path, slice_col)
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import dimension as dm
 from quayside.operators.facts import DimensionKey, fact_surrogate_lookup
-from quayside.plans.dimensions import DimensionSpec, load_dimension
+from quayside.plans.dimensions import EQUIPMENT, DimensionSpec, load_dimension
 from .conftest import bag
 
 SPEC1 = DimensionSpec(("k",), ("v",))
@@ -62,9 +62,12 @@ def test_type2(dim, feed):
     assert dm.current_rows(once).groupBy("k").count().filter("count > 1").count() == 0
 
 
-def test_conflicting_feed_rows_open_one_version(dim, make):
+def test_conflicting_feed_rows_are_an_error(dim, make):
     feed = make([("k1", "x"), ("k1", "y"), ("k9", "p"), ("k9", "q")], "k string, v string")
-    loaded = load_dimension(dim, feed, SPEC2, "2024-05-01")
+    with pytest.raises(ValueError, match="disagree"):
+        load_dimension(dim, feed, SPEC2, "2024-05-01")
+    copies = make([("k1", "y"), ("k1", "y"), ("k9", "q")], "k string, v string")
+    loaded = load_dimension(dim, copies, SPEC2, "2024-05-01")
     assert bag(dm.current_rows(loaded).select("k", "v")) == [("k1", "y"), ("k9", "q")]
     stamped = make([("k1", "x", 2), ("k1", "y", 1)], "k string, v string, at int")
     latest = load_dimension(dim, stamped, DimensionSpec(("k",), ("v",), scd_type=2, latest_by=("at",)),
@@ -79,6 +82,20 @@ def test_composite_keys(make):
     assert bag(changes) == sorted([("U", 2, "a", "y", 3), ("I", None, "b", "x", 4)], key=repr)
 
 
+def test_equipment_windows_are_kept(make):
+    feed = make([("C1", f"2024-0{m}-01", "X", "Y", f"2024-0{m + 1}-01") for m in (1, 3, 5)],
+                "CHE_ID string, AS_AT_TS string, COMPANY string, MANAGE_BY string, EXPIRY_TS string")
+    empty = feed.limit(0).selectExpr("cast(1 as bigint) ID", "CHE_ID", "AS_AT_TS", "COMPANY", "MANAGE_BY", "EXPIRY_TS")
+    assert load_dimension(empty, feed, EQUIPMENT, "2024-06-01").count() == 3
+
+
+def test_fact_takes_the_current_version(make):
+    dim = make([(1, "a", "C"), (7, "a", "A")], "ID bigint, k string, TRANG_THAI_BG string")
+    loaded = fact_surrogate_lookup(
+        make([("a", 5)], "k string, q int"), [DimensionKey(dim, [("k", "k")], "ID", "DIM_ID")], [], [("sum", "q", "Q")])
+    assert [(r["DIM_ID"], r["Q"]) for r in loaded.collect()] == [(7, 5)]
+
+
 def test_fact_counts_once_per_key(make):
     facts = make([("a", 1), ("a", 2), ("b", 4), (None, 8)], "k string, q int")
     dim = make([(10, "a"), (11, "a"), (12, None)], "ID bigint, k string")

@@ -125,3 +125,16 @@ def test_hot_slice_is_written_by_many_tasks(spark, path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(files(path, D1)) > 1
     assert spark.read.parquet(path).count() == 40_000
+
+
+def test_null_slices_and_copies_land(spark, make, tmp_path):
+    path, schema = str(tmp_path / "raw"), "v int, day string"
+    w.land_slices(make([(1, "a"), (2, None)], schema), path, "day")
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 2]
+    w.land_slices(make([(1, "a"), (1, "a"), (2, None), (3, None)], schema), path, "day")
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 1, 2, 3]
+
+
+def test_rows_of_another_slice_are_an_error(make, tmp_path):
+    with pytest.raises(Exception, match="another slice"):
+        w.replace_slice(make([(1, "20230102")], "v int, day string"), str(tmp_path / "t"), "day", "20230101")

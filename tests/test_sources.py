@@ -60,10 +60,3 @@ def test_shared_folder_is_the_configured_one(spark):
 def test_materialized_rows_read_back(make):
     df = make([(1, "a"), (2, None)], "n int, s string")
     assert bag(settings.materialize(df, "m")) == bag(df)
-
-
-def test_spread_only_what_is_read_by_too_few_tasks(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert r.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 10, 1, cores)
-    assert r.spread(wide) is wide
