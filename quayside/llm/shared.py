@@ -34,6 +34,8 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordB
         for batch in batches:
             if batch.num_rows:
                 yield from work(batch)
+        # the worker stays for later tasks: what this one needed should not stay with it
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
