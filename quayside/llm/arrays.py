@@ -151,3 +151,13 @@ def first_smallest(values: np.ndarray, width: int) -> np.ndarray:
         values = np.where(right, values[shift:], values[:-shift])
         step += shift
     return at
+
+
+def smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest value of each window of ``width`` values."""
+    step = 1
+    while step < width and len(values):
+        shift = min(step, width - step)
+        values = np.minimum(values[shift:], values[:-shift])
+        step += shift
+    return values

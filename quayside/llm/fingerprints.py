@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .arrays import Rolling, first_smallest, groups, mix, texts_of
-from .shared import batch, by_batch, table, text_or_empty
+from .arrays import Rolling, groups, mix, smallest, texts_of
+from .shared import batch, table, text_or_empty
 
 WINDOW = 16
 LEVELS = 256
@@ -38,6 +38,7 @@ _TERMS = np.arange(WINDOW + 1) * np.log2(np.maximum(np.arange(WINDOW + 1), 1)) *
 _GAIN = np.diff(np.round(_TERMS))  # what an m-th equal byte adds
 _STEP = np.diff(_GAIN)
 _SCALE = LEVELS / (WINDOW * np.log2(WINDOW) * 2.0**32)
+_UNFIT = np.uint64(LEVELS << 48)  # least number of a window that is no feature
 
 
 def levels(data: np.ndarray) -> np.ndarray:
@@ -99,43 +100,63 @@ def ranks(counts: np.ndarray) -> np.ndarray:
     return rank
 
 
-def digests(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
-    """The filters of each text, one row of ``BITS // 8`` bytes each."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    if not len(data):
-        return [np.zeros((0, BITS // 8), np.uint8) for _ in texts]
-    hashes = Rolling(data)
-    picked_text, picked = [], []
+def ordered(data: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """One number for the window at each offset: the rarest level first, then by hash."""
     own = levels(data)
-    if len(own):
-        window = hashes.windows(WINDOW)
-        # rarest level first, then by hash
-        order = (rank[own].astype(np.uint64) << np.uint64(48)) | (window >> np.uint64(16))
-        n_windows = np.maximum(sizes - WINDOW + 1, 0)
-        span = len(own) - SPAN + 1
-        if span > 0:
-            best = first_smallest(order, SPAN)
-            valid = np.ones(span, bool)
-            for end in offsets[1:-1].tolist():  # spans of windows that reach into the next text
-                valid[max(0, end - WINDOW - SPAN + 2) : end] = False
-            popular = np.bincount(best[valid], minlength=len(own))
-            at = np.flatnonzero((popular >= POPULAR) & (rank[own] < LEVELS))
-            picked.append(window[at])
-            picked_text.append(np.searchsorted(offsets, at, "right") - 1)
-        chosen = np.bincount(np.concatenate(picked_text), minlength=len(texts)) if picked else np.zeros(len(texts), np.int64)
-        for k in np.flatnonzero((chosen == 0) & (n_windows > 0)).tolist():
-            a = offsets[k]
-            picked.append(window[[a + order[a : a + n_windows[k]].argmin()]])
-            picked_text.append(np.array([k]))
-    short = np.flatnonzero((sizes > 0) & (sizes < WINDOW))
-    picked.append(hashes.spans(offsets[short], offsets[short + 1]))
-    picked_text.append(short)
+    if not len(own):
+        return np.zeros(0, np.uint64)
+    return (rank[own].astype(np.uint64) << np.uint64(48)) | (Rolling(data).windows(WINDOW) >> np.uint64(16))
+
+
+def features(order: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the popular windows, and the text of each.
+
+    A window with ``a`` greater ones right before it and ``b`` ones not smaller right after it (up to
+    ``SPAN - 1`` each, within its text) ranks first in ``a + b + 2 - SPAN`` spans.  To be popular it must
+    win against ``near`` neighbours on both sides, which few windows do.
+    """
+    near = POPULAR - 1
+    n = len(order)
+    if n < 2 * near + 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    before, after = smallest(order, near), smallest(order, near + 1)
+    mid = order[near : n - near]
+    wins = (mid == after[near : n - near]) & (mid < before[: n - 2 * near]) & (mid < _UNFIT)
+    at = np.flatnonzero(wins) + near
+    text = np.searchsorted(offsets, at, "right") - 1
+    value, spans = order[at], np.full(len(at), 2 - SPAN)
+    for step, room in ((-1, at - offsets[text]), (1, offsets[text + 1] - WINDOW - at)):
+        alive = room >= near
+        spans[alive] += near
+        for k in range(near + 1, SPAN):
+            alive &= room >= k
+            other = order[np.clip(at + step * k, 0, n - 1)]
+            alive &= other > value if step < 0 else other >= value
+            spans += alive
+    popular = spans >= POPULAR
+    return at[popular], text[popular]
+
+
+def digests_of(data: np.ndarray, offsets: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
+    """The filters of texts that stand one after another, given ``ordered`` of them.
+
+    Windows across two texts are never looked at.
+    """
+    sizes = np.diff(offsets)
+    at, at_text = features(order, offsets)
+    picked, picked_text = [order[at]], [at_text]
+    chosen = np.bincount(at_text, minlength=len(sizes))
+    for k in np.flatnonzero((chosen == 0) & (sizes >= WINDOW)).tolist():
+        picked.append(order[offsets[k] : offsets[k + 1] - WINDOW + 1].min(keepdims=True))
+        picked_text.append(np.array([k]))
+    for k in np.flatnonzero((sizes > 0) & (sizes < WINDOW)).tolist():
+        whole = Rolling(data[offsets[k] : offsets[k + 1]])
+        picked.append(whole.spans(np.zeros(1, np.int64), sizes[k : k + 1]))
+        picked_text.append(np.array([k]))
     feature, owner = np.concatenate(picked), np.concatenate(picked_text)
     back = np.argsort(owner, kind="stable")
     feature, owner = feature[back], owner[back]
-    counts = np.bincount(owner, minlength=len(texts))
+    counts = np.bincount(owner, minlength=len(sizes))
     first = np.cumsum(counts) - counts
     filters = -(-counts // FULL)
     first_filter = np.cumsum(filters) - filters
@@ -148,6 +169,36 @@ def digests(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
     return [packed[a : a + n] for a, n in zip(first_filter.tolist(), filters.tolist())]
 
 
+def digests(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
+    """The filters of each text, one row of ``BITS // 8`` bytes each."""
+    data, offsets = joined(texts)
+    return digests_of(data, offsets, ordered(data, rank))
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(t) for t in texts], np.int64)
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def spliced(data: np.ndarray, seams: np.ndarray, parts: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
+    """``ordered`` of texts put together from pieces whose windows are known.
+
+    ``parts`` holds a number for every byte of the pieces in turn; only windows across a seam inside
+    a text are measured anew.
+    """
+    n = len(data) - WINDOW + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    order = np.concatenate(parts)[:n]
+    around = seams[:, None] + np.arange(1 - WINDOW, WINDOW - 1)
+    anew = ordered(data[np.clip(around, 0, len(data) - 1)].ravel(), rank)
+    anew = np.append(anew, np.zeros(WINDOW - 1, np.uint64)).reshape(around.shape)[:, : WINDOW - 1]
+    to = around[:, : WINDOW - 1]
+    inside = (to >= 0) & (to < n)
+    order[to[inside]] = anew[inside]
+    return order
+
+
 def likeness(one: np.ndarray, two: np.ndarray) -> float:
     """0 to 1: how much of the shorter digest the other one covers."""
     if not len(one) or not len(two):
@@ -209,12 +260,6 @@ def in_ranges(docs: DataFrame) -> DataFrame:
         "doc_id", "text", F.col("_to.r").alias("_range"), F.col("_to.copy").alias("_copy"))
 
 
-def edited(text: str, following: str) -> str:
-    """The last half of a text replaced by the first characters of another."""
-    half = len(text) // 2
-    return text[: len(text) - half] + following[:half]
-
-
 def with_next(docs: DataFrame, rank: np.ndarray) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     spark = docs.sparkSession
@@ -223,45 +268,53 @@ def with_next(docs: DataFrame, rank: np.ndarray) -> DataFrame:
 
     def work(batches):
         rank = sent.value
-        last = None  # range, id, text, digest of the row before
+        last = None  # the document before: range, then what results() needs of it
 
         def results(pairs):
-            """pairs: (id, text, digest, next text, next digest)"""
-            changed = [edited(p[1], p[3]) for p in pairs]
-            raw = [t.encode("utf-8", "surrogatepass") for t in changed]
-            found = []
-            i = 0
-            while i < len(raw):
-                j, size = i, 0
-                while j < len(raw) and (j == i or size + len(raw[j]) < 1 << 20):
-                    size += len(raw[j])
-                    j += 1
-                found += digests(raw[i:j], rank)
-                i = j
+            """pairs: two documents, each as (id, text, digest, bytes, numbers of its windows)"""
+            raw, parts, seams, size = [], [], [], 0
+            for (_, text, _, own, order), (_, following, _, others, next_order) in pairs:
+                half = len(text) // 2
+                kept = len(text[: len(text) - half].encode())
+                added = len(following[:half].encode())
+                raw.append(own[:kept] + others[:added])
+                parts += [order[:kept], next_order[:added]]
+                seams.append(size + kept)
+                size += kept + added
+            data, offsets = joined(raw)
+            found = digests_of(data, offsets, spliced(data, np.array(seams), parts, rank))
             return batch(
-                doc_id=pa.array([p[0] for p in pairs], pa.int64()),
-                n_chars=pa.array([len(p[1]) for p in pairs], pa.int64()),
+                doc_id=pa.array([a[0] for a, _ in pairs], pa.int64()),
+                n_chars=pa.array([len(a[1]) for a, _ in pairs], pa.int64()),
                 edited_sha256=pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()),
-                fingerprint=pa.array([text_form(p[2]) for p in pairs], pa.string()),
+                fingerprint=pa.array([text_form(a[2]) for a, _ in pairs], pa.string()),
                 edited_fingerprint=pa.array([text_form(d) for d in found], pa.string()),
-                near_edited=pa.array([likeness(p[2], d) for p, d in zip(pairs, found)], pa.float64()),
-                near_next=pa.array([likeness(p[2], p[4]) for p in pairs], pa.float64()),
+                near_edited=pa.array([likeness(a[2], d) for (a, _), d in zip(pairs, found)], pa.float64()),
+                near_next=pa.array([likeness(a[2], b[2]) for a, b in pairs], pa.float64()),
             )
 
         for rows in batches:
             data, offsets = texts_of(rows.column("text"))
             names, where, copies = (rows.column(c).to_pylist() for c in ("doc_id", "_range", "_copy"))
             for i, j in groups(offsets):
-                raw = [data[offsets[k] : offsets[k + 1]].tobytes() for k in range(i, j)]
+                texts = [data[offsets[k] : offsets[k + 1]].tobytes().decode("utf-8", "replace") for k in range(i, j)]
+                raw = [t.encode() for t in texts]
+                own, starts = joined(raw)
+                order = ordered(own, rank)
+                found = digests_of(own, starts, order)
+                order = np.append(order, np.zeros(min(len(own), WINDOW - 1), np.uint64))
                 pairs = []
-                for k, digest in zip(range(i, j), digests(raw, rank)):
-                    text = raw[k - i].decode("utf-8", "replace")
+                for k, a, b in zip(range(i, j), starts[:-1].tolist(), starts[1:].tolist()):
+                    document = (names[k], texts[k - i], found[k - i], raw[k - i], order[a:b])
                     if last is not None and last[0] == where[k]:
-                        pairs.append((*last[1:], text, digest))
+                        pairs.append((last[1], document))
                     # of copies, which come last in their range, only the first follows a row
-                    last = None if copies[k] else (where[k], names[k], text, digest)
+                    last = None if copies[k] else (where[k], document)
                 if pairs:
                     yield results(pairs)
+                if last is not None:  # without the arrays of its whole group
+                    last = (last[0], (*last[1][:4], last[1][4].copy()))
+        pa.default_memory_pool().release_unused()
 
     return in_ranges(docs).repartition(n, "_range").sortWithinPartitions("_range", "_copy", "doc_id", "text").mapInArrow(
         work, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quayside.llm import queries as llm
+from quayside.llm import fingerprints as fp, queries as llm
 from quayside.llm.tokens import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, shard string, spans string, node int, key string"
@@ -197,6 +197,35 @@ def test_op7_edits_and_compares(result):
             assert row["near_edited"] == 1 and row["edited_fingerprint"] == row["fingerprint"]
 
 
+def test_op7_features_and_splices_match_brute_force():
+    rng = np.random.default_rng(7)
+    rank = fp.ranks(rng.integers(1, 1000, fp.LEVELS))
+    texts = [bytes(rng.integers(97, 97 + k % 9 + 1, n, np.uint8)) for k, n in enumerate([0, 5, 16, 47, 48, 300, 15, 2000, 1, 90])]
+    data, offsets = fp.joined(texts)
+    order = fp.ordered(data, rank)
+    expected = []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        own = order[a : max(a, b - fp.WINDOW + 1)].tolist()
+        spans = [own[s : s + fp.SPAN] for s in range(len(own) - fp.SPAN + 1)]
+        firsts = [s + span.index(min(span)) for s, span in enumerate(spans)]
+        expected += [a + p for p in sorted(set(firsts)) if firsts.count(p) >= fp.POPULAR and own[p] < fp.LEVELS << 48]
+    assert expected and fp.features(order, offsets)[0].tolist() == expected
+    known = np.append(order, np.zeros(fp.WINDOW - 1, np.uint64))
+    parts, seams, edited, size = [], [], [], 0
+    for k in range(len(texts)):
+        a, b, half = offsets[k], offsets[(k + 1) % len(texts)], len(texts[k]) // 2
+        added = min(half, len(texts[(k + 1) % len(texts)]))
+        kept = len(texts[k]) - half
+        parts += [known[a : a + kept], known[b : b + added]]
+        seams.append(size + kept)
+        size += kept + added
+        edited.append(texts[k][:kept] + texts[(k + 1) % len(texts)][:added])
+    whole, starts = fp.joined(edited)
+    got = fp.digests_of(whole, starts, fp.spliced(whole, np.array(seams), parts, rank))
+    for digest, text in zip(got, edited):
+        assert digest.tobytes() == fp.digests([text], rank)[0].tobytes()
+
+
 def test_op8_finds_all_components(result):
     sets = {}
     for name, text in docs().items():
