@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..settings import new_path
-from .shared import batch, table
+from .shared import batch, table, tidy
 from .tokens import encoder, vocabulary
 
 END = 2
@@ -121,7 +121,7 @@ def write(docs: DataFrame, path: str, vocab: str, end: int = END, ids_per_row: i
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-        .mapInArrow(work, "part int, row int, doc_ids array<long>, lengths array<long>, n_ids long, codes binary")
+        .mapInArrow(tidy(work), "part int, row int, doc_ids array<long>, lengths array<long>, n_ids long, codes binary")
         .write.parquet(path)
     )
 
@@ -150,7 +150,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     return files.join(runs, ["part", "row"]).mapInArrow(
-        work, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        tidy(work), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op5_binary(spark: SparkSession, sf_dir: str) -> DataFrame:

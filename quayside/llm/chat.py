@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .shared import batch, by_batch, table
+from .shared import batch, by_batch, table, tidy
 from .tokens import encoder, vocabulary
 
 OPEN, CLOSE = "<|turn|>", "<|end|>"
@@ -133,7 +133,7 @@ def read_back(formatted: DataFrame, vocab: str) -> DataFrame:
 
     # the formatted rows are already dealt by conversation
     return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "number").mapInArrow(
-        work, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+        tidy(work), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

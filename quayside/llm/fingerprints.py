@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrays import Rolling, groups, mix, smallest, texts_of
-from .shared import batch, table, text_or_empty
+from .shared import batch, table, text_or_empty, tidy
 
 WINDOW = 16
 LEVELS = 256
@@ -85,7 +85,7 @@ def level_counts(docs: DataFrame) -> np.ndarray:
                 total += np.bincount(own[inside], minlength=LEVELS)
         yield batch(level=np.arange(LEVELS), n=total)
 
-    found = docs.select("text").mapInArrow(work, "level long, n long").groupBy("level").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(tidy(work), "level long, n long").groupBy("level").agg(F.sum("n").alias("n"))
     counts = np.zeros(LEVELS, np.int64)
     for r in found.collect():
         counts[r["level"]] = r["n"]
@@ -314,10 +314,9 @@ def with_next(docs: DataFrame, rank: np.ndarray) -> DataFrame:
                     yield results(pairs)
                 if last is not None:  # without the arrays of its whole group
                     last = (last[0], (*last[1][:4], last[1][4].copy()))
-        pa.default_memory_pool().release_unused()
 
     return in_ranges(docs).repartition(n, "_range").sortWithinPartitions("_range", "_copy", "doc_id", "text").mapInArrow(
-        work, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        tidy(work), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
 
 

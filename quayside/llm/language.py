@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrays import mix
-from .shared import batch, by_batch, table
+from .shared import batch, by_batch, table, tidy
 
 BITS = 15
 FEATURES = 1 << BITS
@@ -70,7 +70,7 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             yield batch(lang=pa.array([name] * len(at), pa.string()), feature=at.astype(np.int32), n=counts[at])
 
     known = docs.filter("lang is not null and text is not null").select("text", "lang")
-    counts = known.mapInArrow(work, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+    counts = known.mapInArrow(tidy(work), "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     # one short row per label and feature: bounded by the model's size, not by the data
     rows = counts.toPandas()
     labels = sorted(rows["lang"].unique())

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..settings import materialize, scratch
 from .arrays import BLANKS, groups, mix, shingles, texts_of, words_of
 from .graph import components
-from .shared import batch, by_batch, stored, table
+from .shared import batch, by_batch, stored, table, tidy
 
 WIDTH = 5
 PERCENT = 75
@@ -140,7 +140,7 @@ def _alike(pairs: DataFrame, sets: DataFrame, column: str, kind: type) -> DataFr
                 yield batch(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
 
     return members.unionByName(centres).repartition("a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(
-        work, "a long, b long")
+        tidy(work), "a long, b long")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -215,7 +215,7 @@ def _bucket_pairs(rows: DataFrame, star: bool, least: float) -> DataFrame:
             yield found()
 
     pairs = rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "node").mapInArrow(
-        work, "a long, b long, like double")
+        tidy(work), "a long, b long, like double")
     return pairs.select("a", "b") if star else pairs.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Return freed memory to the system; called at the end of a task.
+
+    Spark keeps a Python worker for later tasks and stages, and Arrow's pool and the C library keep what
+    they once had: without this each stage of a pipeline would add its peak to that of the one before.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable) -> Callable:
+    """``work`` over the batches of a task, which then gives back what it freed."""
+
+    def run(batches):
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` for work that looks at one batch at a time."""
 
@@ -34,10 +58,8 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordB
         for batch in batches:
             if batch.num_rows:
                 yield from work(batch)
-        # the worker stays for later tasks: what this one needed should not stay with it
-        pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def batch(**columns) -> pa.RecordBatch:

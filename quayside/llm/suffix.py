@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..settings import scratch
 from .arrays import CODES, CODES_2, Rolling, first_smallest, mix, texts_of
-from .shared import batch, by_batch, stored, table
+from .shared import batch, by_batch, stored, table, tidy
 
 LENGTH = 100
 GRAM = 48
@@ -213,7 +213,7 @@ def _repeated_strings(halves: DataFrame) -> DataFrame:
             seen = np.concatenate([seen, np.stack([one[here], two[here]])], 1)
             seen = seen[:, np.argsort(seen[0], kind="stable")]
 
-    return halves.repartition("sub").sortWithinPartitions("sub", "id", "first").mapInArrow(work, "id long, spans binary")
+    return halves.repartition("sub").sortWithinPartitions("sub", "id", "first").mapInArrow(tidy(work), "id long, spans binary")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
