@@ -26,6 +26,11 @@ def day(iso: str) -> Column:
     return F.lit(iso).cast("date")
 
 
+def scrambled(nth):
+    """The id of the nth commit of the versioned table."""
+    return nth * 611953 % 1000003
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -284,6 +289,7 @@ class Views:
     # day k of the month: commit 3k+1 appends the morning, 3k+2 the afternoon; up to day 23,
     # 3k+3 overwrites the day without its errors.  Day 20 was committed after rolling back to
     # the end of day 18, so the commits of day 19 are on no one's chain but their own.
+    # The nth commit's content is n; its id is scrambled, as ids say nothing about order.
 
     @cached_property
     def history(self) -> DataFrame:
@@ -312,8 +318,8 @@ class Views:
         )
         corrected_at = F.col("slice").cast("timestamp_ntz") + F.expr("INTERVAL 30 HOURS")
         log = self.history.groupBy("slice", "content_id").agg(F.max("ts").alias("_last")).select(
-            ident.alias("snapshot_id"),
-            parent.cast("bigint").alias("parent_id"),
+            scrambled(ident).cast("bigint").alias("snapshot_id"),
+            scrambled(parent).cast("bigint").alias("parent_id"),
             F.when(nth == 2, corrected_at).otherwise(F.col("_last")).alias("committed_at"),
             F.when(nth == 2, "overwrite").otherwise("append").alias("operation"),
             "slice",
@@ -323,16 +329,16 @@ class Views:
 
     @cached_property
     def refs(self) -> DataFrame:
-        top, on = F.max("snapshot_id"), F.col("slice")
-        ident = F.col("snapshot_id")
+        top, on = F.max_by("snapshot_id", "content_id"), F.col("slice")
+        ident = F.col("content_id")
         named = self.commits.agg(
             F.struct(F.lit("main").alias("name"), F.lit("branch").alias("kind"),
                      top.alias("snapshot_id"), F.lit(None).cast("int").alias("retain_days")).alias("m"),
             F.struct(F.lit("audit").alias("name"), F.lit("branch").alias("kind"),
-                     F.max(F.when(on == "2024-01-20", ident)).alias("snapshot_id"),
+                     F.max_by("snapshot_id", F.when(on == "2024-01-20", ident)).alias("snapshot_id"),
                      F.lit(None).cast("int").alias("retain_days")).alias("a"),
             F.struct(F.lit("mid").alias("name"), F.lit("tag").alias("kind"),
-                     F.max(F.when(on == "2024-01-15", ident)).alias("snapshot_id"),
+                     F.max_by("snapshot_id", F.when(on == "2024-01-15", ident)).alias("snapshot_id"),
                      F.lit(31).alias("retain_days")).alias("t"),
         )
         return named.select(F.explode(F.array("m", "a", "t")).alias("r")).select("r.*")
@@ -493,24 +499,24 @@ VIEW_SQL = {
           value * 2, ts
         FROM v_events WHERE slice < DATE '2024-01-25' AND event_type <> 'error'""",
     "v_commits": """
-        SELECT content_id AS snapshot_id,
-          CAST(CASE WHEN (content_id - 1) % 3 > 0 THEN content_id - 1
+        SELECT content_id * 611953 % 1000003 AS snapshot_id,
+          611953 * CAST(CASE WHEN (content_id - 1) % 3 > 0 THEN content_id - 1
                WHEN content_id = 1 THEN NULL
                WHEN content_id = 61 THEN 57
                WHEN content_id <= 73 THEN content_id - 1
-               ELSE content_id - 2 END AS BIGINT) AS parent_id,
+               ELSE content_id - 2 END AS BIGINT) % 1000003 AS parent_id,
           CASE WHEN (content_id - 1) % 3 = 2 THEN CAST(slice AS TIMESTAMP) + INTERVAL 30 HOUR
                ELSE max(ts) END AS committed_at,
           CASE WHEN (content_id - 1) % 3 = 2 THEN 'overwrite' ELSE 'append' END AS operation,
           slice, content_id
         FROM v_history GROUP BY slice, content_id""",
     "v_refs": """
-        SELECT 'main' AS name, 'branch' AS kind, max(snapshot_id) AS snapshot_id,
+        SELECT 'main' AS name, 'branch' AS kind, arg_max(snapshot_id, content_id) AS snapshot_id,
           CAST(NULL AS INTEGER) AS retain_days FROM v_commits
         UNION ALL
-        SELECT 'audit', 'branch', max(snapshot_id), NULL FROM v_commits WHERE slice = DATE '2024-01-20'
+        SELECT 'audit', 'branch', arg_max(snapshot_id, content_id), NULL FROM v_commits WHERE slice = DATE '2024-01-20'
         UNION ALL
-        SELECT 'mid', 'tag', max(snapshot_id), 31 FROM v_commits WHERE slice = DATE '2024-01-15'""",
+        SELECT 'mid', 'tag', arg_max(snapshot_id, content_id), 31 FROM v_commits WHERE slice = DATE '2024-01-15'""",
 }
 
 

@@ -6,35 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..settings import materialize
+from ..settings import materialize, scratch
 
 # monotonically_increasing_id() puts the partition above bit 33 and counts rows below it
 _PARTITION_SHIFT = 33
 _POSITION_MASK = (1 << _PARTITION_SHIFT) - 1
 
-#: copies of one row that a task writes in one go
-COPIES_PER_TASK = 100_000
-
-
-def number_copies(df: DataFrame, name: str = "_copy", chunk: int = COPIES_PER_TASK) -> DataFrame:
-    """The same rows, exact copies told apart as 0, 1, 2 ...
-
-    Copies are counted (folded before the shuffle) and written out again with their number, a
-    row with very many copies by many tasks.  Unlike a random salt the number is the same on
-    every attempt, so a task that is repeated cannot lose or double a row.
-    """
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    few = counted.filter(F.col("_copies") <= chunk).withColumn("_from", F.lit(0).cast("bigint"))
-    many = (
-        counted.filter(F.col("_copies") > chunk)
-        .withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(chunk))))
-        .repartition("_from")
-    )
-    last = F.least(F.col("_from") + chunk, F.col("_copies")) - 1
-    return few.unionByName(many).select(
-        *df.columns, F.explode(F.sequence(F.col("_from"), last)).alias(name)
-    )
-
 
 def global_row_id(
     df: DataFrame,
@@ -48,23 +25,26 @@ def global_row_id(
     Rows are range-partitioned and sorted by the order columns, positions within a range come
     for free, and each range starts where the ones before it end.  ``tie_break`` names columns
     that, with ``order_by``, tell all rows apart; they make the numbers deterministic and let a
-    range boundary fall inside a key that holds a large part of all rows.  Without it, all other
-    columns are used, and whole copies of a row are numbered first.
+    range boundary fall inside a key that holds a large part of all rows.  Without it, the rows are
+    written out first and all other columns are used, then a row's file and position, which tell
+    whole copies apart: a range may end among the copies of one row.
 
     The ranged rows are written out before they are counted: range bounds come from a sample,
     so counting and numbering must look at the same files, not at two runs of the same plan.
     """
-    rows = df
-    if tie_break is None:
-        rows = number_copies(df)
-        tie_break = [c for c in rows.columns if c not in order_by]
-    keys = [*order_by, *tie_break]
-    ranged = materialize(
-        rows.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .select(*df.columns, F.monotonically_increasing_id().alias(name)),
-        "row-id",
-    )
+    with scratch(df.sparkSession) as kept:
+        rows = df
+        if tie_break is None:
+            place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+            rows = materialize(df, "unnumbered").select("*", *place)
+            tie_break = [c for c in rows.columns if c not in order_by]
+        keys = [*order_by, *tie_break]
+        ranged = kept.keep(
+            rows.repartitionByRange(*keys)
+            .sortWithinPartitions(*keys)
+            .select(*df.columns, F.monotonically_increasing_id().alias(name)),
+            "row-id",
+        )
     part = F.shiftright(name, _PARTITION_SHIFT)
     # one row per range: as few rows as there are shuffle partitions, whatever the data
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

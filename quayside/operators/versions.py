@@ -53,7 +53,8 @@ def snapshot_id_for_date(commits: DataFrame, day: str) -> DataFrame:
 
 
 def ancestors(commits: DataFrame, heads: DataFrame) -> DataFrame:
-    """(head, snapshot_id) for every commit on the parent chain of each head, itself included.
+    """(head, snapshot_id, depth) for every commit on the parent chain of each head: the head itself
+    at depth 0, its parent at 1 and so on.  Ids say nothing about which commit came later.
 
     Jump tables double the distance they cover, so a chain of n commits takes log2(n) rounds.
     Each table is used twice by the next; it is checkpointed or plans would double as well.
@@ -61,11 +62,13 @@ def ancestors(commits: DataFrame, heads: DataFrame) -> DataFrame:
     links = commits.select("snapshot_id", "parent_id").distinct()
     jump = cut_lineage(links.filter(F.col("parent_id").isNotNull()))
     rounds = ceil(log2(links.count() + 1))
-    reached = heads.select("head", F.col("head").alias("snapshot_id"))
+    reached = heads.select("head", F.col("head").alias("snapshot_id"), F.lit(0).alias("depth"))
     for i in range(rounds):
         step = reached.join(jump, "snapshot_id", "left")
-        both = F.array_compact(F.array("snapshot_id", "parent_id"))
-        reached = step.select("head", F.explode(both).alias("snapshot_id"))
+        here = F.struct("snapshot_id", "depth")
+        there = F.struct(F.col("parent_id").alias("snapshot_id"), (F.col("depth") + 2**i).alias("depth"))
+        both = F.array_compact(F.array(here, F.when(F.col("parent_id").isNotNull(), there)))
+        reached = step.select("head", F.explode(both).alias("at")).select("head", "at.*")
         if i + 1 < rounds:
             onward = jump.select(F.col("snapshot_id").alias("parent_id"), F.col("parent_id").alias("_far"))
             jump = cut_lineage(
@@ -76,15 +79,15 @@ def ancestors(commits: DataFrame, heads: DataFrame) -> DataFrame:
 
 def visible_commits(commits: DataFrame, heads: DataFrame) -> DataFrame:
     """(head, slice, content_id) of the rows each head shows: per slice, everything from its
-    last overwrite on."""
+    nearest overwrite on."""
     chain = ancestors(commits, heads).join(
         commits.select("snapshot_id", "slice", "operation", "content_id"), "snapshot_id"
     )
-    overwritten = F.when(F.col("operation") == "overwrite", F.col("snapshot_id"))
-    base = chain.groupBy("head", "slice").agg(F.max(overwritten).alias("_base"))
+    overwritten = F.when(F.col("operation") == "overwrite", F.col("depth"))
+    base = chain.groupBy("head", "slice").agg(F.min(overwritten).alias("_base"))
     return (
         chain.join(base, ["head", "slice"])
-        .filter(F.col("_base").isNull() | (F.col("snapshot_id") >= F.col("_base")))
+        .filter(F.col("_base").isNull() | (F.col("depth") <= F.col("_base")))
         .select("head", "slice", "content_id")
     )
 
@@ -130,10 +133,10 @@ def rollback(commits: DataFrame, refs: DataFrame, snapshot_id: int, branch: str
 
 def rollback_to_time(commits: DataFrame, refs: DataFrame, at, branch: str = MAIN) -> DataFrame:
     """Point a branch back at the last commit it builds on that was made up to a moment."""
-    chain = ancestors(commits, resolve_ref(refs, branch, "branch")).select("snapshot_id")
-    own = commits.join(chain, "snapshot_id", "left_semi")
-    head = resolve_as_of(own, at)
-    return _move_if_found(refs, head.withColumnRenamed("head", "snapshot_id"), branch)
+    chain = ancestors(commits, resolve_ref(refs, branch, "branch"))
+    own = commits.join(chain, "snapshot_id").filter(F.col("committed_at") <= F.lit(at).cast("timestamp_ntz"))
+    last = own.agg(F.max_by("snapshot_id", F.struct("committed_at", -F.col("depth"))).alias("snapshot_id"))
+    return _move_if_found(refs, last.filter(F.col("snapshot_id").isNotNull()), branch)
 
 
 def _move_if_found(refs: DataFrame, target: DataFrame, branch: str) -> DataFrame:
@@ -161,14 +164,19 @@ def create_ref(
 def publish(
     commits: DataFrame, refs: DataFrame, staged_id: int, new_id: int, at, branch: str = MAIN
 ) -> tuple[DataFrame, DataFrame]:
-    """Repeat a commit staged elsewhere on top of a branch, without copying its rows."""
-    onto = resolve_ref(refs, branch, "branch").first()["head"]
-    again = commits.filter(F.col("snapshot_id") == staged_id).withColumns({
+    """Repeat a commit staged elsewhere on top of a branch, without copying its rows.
+
+    Without such a commit or branch nothing changes.
+    """
+    onto = resolve_ref(refs, branch, "branch").select(
+        F.lit(staged_id).cast("bigint").alias("snapshot_id"), F.col("head").alias("_onto")
+    )
+    again = commits.join(onto, "snapshot_id").withColumns({
         "snapshot_id": F.lit(new_id).cast("bigint"),
-        "parent_id": F.lit(onto).cast("bigint"),
+        "parent_id": F.col("_onto").cast("bigint"),
         "committed_at": F.lit(at).cast("timestamp_ntz"),
     })
-    moved = set_head(refs, again.select(F.col("snapshot_id").alias("head")).distinct(), branch)
+    moved = _move_if_found(refs, again.select("snapshot_id").distinct(), branch)
     return commits.unionByName(again.select(*commits.columns)), moved
 
 
@@ -185,11 +193,7 @@ def retained_commits(
         | F.col("retain_days").isNull()
         | (F.datediff(today, F.col("committed_at")) <= F.col("retain_days"))
     )
-    chain = ancestors(commits, resolve_ref(refs, MAIN, "branch")).select("snapshot_id")
-    newest = (
-        made.join(chain, "snapshot_id", "left_semi")
-        .orderBy(F.desc("committed_at"), F.desc("snapshot_id")).limit(retain_last)
-    )
+    newest = ancestors(commits, resolve_ref(refs, MAIN, "branch")).filter(F.col("depth") < retain_last)
     recent = made.filter(F.col("committed_at") >= limit)
     kept = [part.select("snapshot_id") for part in (named, newest, recent)]
     return kept[0].union(kept[1]).union(kept[2]).distinct()

@@ -125,3 +125,17 @@ def test_expire_by_id(commits, refs, history):
         "r1", "r3", "r4", "r5"
     }
     assert vs.expire_by_id(history, commits, refs, [2, 5]).count() == 5
+
+
+def test_ids_say_nothing_about_order(make, spark):
+    commits = make([(900, None, at(1), "append", "a", 1), (5, 900, at(2), "overwrite", "a", 2),
+                    (700, 5, at(3), "append", "a", 3)], COMMITS)
+    history = make([("a", c, f"r{c}") for c in (1, 2, 3)], "slice string, content_id bigint, v string")
+    assert read(spark, history, commits, 700) == {"r2", "r3"}
+    assert read(spark, history, commits, 900) == {"r1"}
+
+
+def test_publish_to_no_branch_or_of_no_commit_changes_nothing(commits, refs):
+    for staged, branch in ((2, "none"), (77, "main")):
+        published, moved = vs.publish(commits, refs, staged, 9, "2024-01-09 00:00:00", branch)
+        assert bag(published) == bag(commits) and bag(moved) == bag(refs)
