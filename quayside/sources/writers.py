@@ -136,11 +136,19 @@ def table_location(spark: SparkSession, table: str) -> str:
     return details.filter(F.col("col_name") == "Location").first()["data_type"]
 
 
+def _literal(value) -> str:
+    """A slice value as SQL text."""
+    if value is None:
+        return "NULL"
+    quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{quoted}'"
+
+
 def delete_where(spark: SparkSession, table: str, predicate: Column, slice_col: str) -> None:
     """Delete the rows the predicate is true for (not those it is unknown for).
 
     Slices that lose some rows are rewritten, slices that lose all are dropped, the rest is not
-    touched.  What comes to the driver is the list of affected slices, as long as the list of
+    touched; NULL is a slice.  What comes to the driver is the list of affected slices, as long as the list of
     partitions a drop has to name.
     """
     rows = spark.table(table)
@@ -150,10 +158,11 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, slice_col:
     partial = [r["_slice"] for r in listed if not r["_all"]]
     emptied = [r["_slice"] for r in listed if r["_all"]]
     if partial:
-        rest = rows.filter(F.col(slice_col).isin(*partial) & ~hit)
+        own = [F.col(slice_col).eqNullSafe(F.lit(day)) for day in partial]
+        rest = rows.filter(reduce(or_, own) & ~hit)
         replace_slices(rest, table_location(spark, table), slice_col)
     if emptied:
-        named = ", ".join(f"PARTITION (`{slice_col}` = '{day}')" for day in emptied)
+        named = ", ".join(f"PARTITION (`{slice_col}` = {_literal(day)})" for day in emptied)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
     spark.catalog.refreshTable(table)
 

@@ -138,3 +138,14 @@ def test_null_slices_and_copies_land(spark, make, tmp_path):
 def test_rows_of_another_slice_are_an_error(make, tmp_path):
     with pytest.raises(Exception, match="another slice"):
         w.replace_slice(make([(1, "20230102")], "v int, day string"), str(tmp_path / "t"), "day", "20230101")
+
+
+def test_delete_in_the_null_slice_and_in_quoted_ones(make, spark):
+    rows = [(None, 1), (None, 2), ("it's", 1), ("it's", 2), ("a\\b", 1), ("plain", 3)]
+    for name, n, left in (("part", 1, [r for r in rows if r[1] != 1]), ("all", 3, [("plain", 3)])):
+        table = f"deleted_{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        w.create_or_replace(make(rows, "s string, n int"), table, partition_by="s")
+        w.delete_where(spark, table, F.col("n") == 1 if n == 1 else F.col("n") < 3, "s")
+        assert sorted(map(str, bag(spark.table(table).select("s", "n")))) == sorted(map(str, bag(make(left, "s string, n int"))))
+        spark.sql(f"DROP TABLE {table}")
