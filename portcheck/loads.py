@@ -204,6 +204,22 @@ def _(v):
     return _landed(v, "removed")
 
 
+# the source repeats purchases of one day, which only counting copies shows, and has lost the day of others
+@check("land_slice_copies", """
+    SELECT * FROM v_source
+    UNION ALL
+    SELECT * FROM v_source WHERE slice = DATE '2024-01-07' AND event_type = 'purchase'
+    UNION ALL
+    SELECT * REPLACE (CAST(NULL AS DATE) AS slice) FROM v_source WHERE slice = DATE '2024-01-12'""")
+def _(v):
+    path, rows = new_path(v.spark, "landed"), v.source_slices
+    w.append_slices(rows, path, "slice")
+    again = rows.filter("slice = '2024-01-07' AND event_type = 'purchase'")
+    undated = F.when(F.col("slice") != "2024-01-12", F.col("slice"))
+    w.land_slices(rows.withColumn("slice", undated).unionByName(again), path, "slice")
+    return v.spark.read.schema(rows.schema).parquet(path)
+
+
 def _typed(c: str) -> str:
     if c not in DATE_COLUMNS:
         return f"trim({c}) AS {c}"
