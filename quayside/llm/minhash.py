@@ -71,6 +71,12 @@ _BAND = mix(np.arange(1, BINS // ROWS + 1, dtype=np.uint64))
 _PLACE = mix(np.arange(1001, 1001 + ROWS, dtype=np.uint64)) | _U(1)
 
 
+def band_keys(values: np.ndarray) -> np.ndarray:
+    """Bucket keys of a sketch, one of each band."""
+    banded = values[: len(_BAND) * ROWS].reshape(-1, ROWS)
+    return mix((banded * _PLACE).sum(1, dtype=np.uint64) + _BAND).view(np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, two sums that identify the set, bucket keys, and one byte of each bin."""
 
@@ -82,8 +88,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             if len(found):
                 size[k], one[k], two[k] = len(found), mix(found).sum(), mix(found ^ _U(0x5BD1E995)).sum()
                 values = sketch(found)
-                banded = values[: len(_BAND) * ROWS].reshape(-1, ROWS)
-                keys[k] = mix((banded * _PLACE).sum(1, dtype=np.uint64) + _BAND).view(np.int64)
+                keys[k] = band_keys(values)
                 bins[k] = (values & _U(255)).astype(np.uint8).tobytes()
         yield batch(
             doc_id=rows.column("doc_id"), n_shingles=size, one=one.view(np.int64), two=two.view(np.int64),
@@ -161,10 +166,11 @@ def _pairs_in(found: list, star: bool, least: float):
 
     Only nodes of different components and fitting sizes whose sketches agree enough.  In a star the
     centre, closest to what most sketches say in each bin, meets the nodes that chose this bucket;
-    otherwise each pair meets once in a cell, and only in the first band that both agree in.
+    otherwise each pair meets once in a cell, and only in the first band whose bucket both are in.
     """
     node, part, n, band, side, chosen = (np.array([r[c] for r in found]) for c in (0, 1, 2, 4, 5, 6))
     bins = np.frombuffer(b"".join(r[3] for r in found), np.uint8).reshape(len(found), BINS)
+    keys = None if star else np.stack([r[7] for r in found])
 
     def alike(k, there):
         fit = there[(part[there] != part[k]) & (100 * np.minimum(n[there], n[k]) >= PERCENT * np.maximum(n[there], n[k]))]
@@ -172,8 +178,8 @@ def _pairs_in(found: list, star: bool, least: float):
         like = (same.mean(1) - 1 / 256) / (1 - 1 / 256)
         good = like >= least
         if not star:
-            bands = same[:, : len(_BAND) * ROWS].reshape(len(fit), len(_BAND), ROWS).all(2)
-            good &= bands.argmax(1) == band[k]
+            some = np.flatnonzero(good)
+            good[some] = (keys[fit[some]] == keys[k]).argmax(1) == band[k]
         return np.full(int(good.sum()), node[k]), node[fit[good]], like[good]
 
     if star:
@@ -203,7 +209,10 @@ def _bucket_pairs(rows: DataFrame, star: bool, least: float) -> DataFrame:
             return batch(a=a, b=b, like=like)
 
         for rows in batches:
-            for key, cell, *row in zip(*(rows.column(c).to_pylist() for c in ("key", "cell", *_COLUMNS))):
+            columns = [rows.column(c).to_pylist() for c in ("key", "cell", *_COLUMNS)]
+            if not star:
+                columns.append(list(rows.column("keys").flatten().to_numpy().reshape(-1, len(_BAND))))
+            for key, cell, *row in zip(*columns):
                 if (key, cell) != at:
                     flush()
                     held, at = [], (key, cell)
@@ -230,7 +239,7 @@ def _in_cells(rows: DataFrame, star: bool) -> DataFrame:
     else:
         rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumn(
             "cell", F.least("side", "_other").cast("long") * F.lit(1 << 31) + F.greatest("side", "_other"))
-    return rows.select("key", "cell", *_COLUMNS)
+    return rows.select("key", "cell", *_COLUMNS, *(() if star else ("keys",)))
 
 
 def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool) -> DataFrame:
@@ -247,7 +256,7 @@ def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool) ->
         rows = rows.join(choice, "node").withColumn("chosen", F.col("key") == F.col("_choice")).drop("_choice")
         rows = rows.join(choice.select(F.col("_choice").alias("key")).distinct(), "key", "left_semi")
     return _in_cells(
-        rows.join(leaders.select("node", F.col("n_shingles").alias("n"), "bins"), "node"), star)
+        rows.join(leaders.select("node", F.col("n_shingles").alias("n"), "bins", "keys"), "node"), star)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

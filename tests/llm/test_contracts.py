@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quayside.llm import fingerprints as fp, queries as llm
+from quayside.llm import fingerprints as fp, minhash, queries as llm
 from quayside.llm.tokens import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, shard string, spans string, node int, key string"
@@ -247,6 +247,33 @@ def test_op8_finds_all_components(result):
         assert (row["n_shingles"], row["component_id"], row["kept"]) == (len(sets[name]), label[name], label[name] == name)
 
 
+def set_pairs(shared, own, n, seed):
+    """Pairs of sorted sets of hashes with so many elements in common and ``own`` more in each."""
+    rng = np.random.default_rng(seed)
+    for _ in range(n):
+        found = rng.integers(0, 1 << 63, shared + 2 * own, np.uint64) * np.uint64(2) + rng.integers(0, 2, shared + 2 * own, np.uint64)
+        yield np.sort(found[: shared + own]), np.sort(np.append(found[:shared], found[shared + own :]))
+
+
+def meetings(one, two, least):
+    """In how many of the buckets that two sets share they become a candidate pair, and whether they share one."""
+    sketches = [minhash.sketch(s) for s in (one, two)]
+    keys = [minhash.band_keys(s) for s in sketches]
+    bands = np.flatnonzero(keys[0] == keys[1])
+    n = 0
+    for band in bands.tolist():
+        rows = [[k, k, len(s), (sketches[k] & np.uint64(255)).astype(np.uint8).tobytes(), band, 0, True, keys[k]]
+                for k, s in enumerate((one, two))]
+        n += sum(len(a) for a, _, _ in minhash._pairs_in(rows, False, least))
+    return n, len(bands) > 0
+
+
+def test_op8_pairs_meet_in_one_of_their_buckets():
+    for one, two in set_pairs(120, 20, 1500, 3):  # similarity 0.75
+        n, shared = meetings(one, two, 0.0)
+        assert n == shared
+
+
 def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
