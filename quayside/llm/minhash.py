@@ -7,8 +7,9 @@ bucket, all nodes are linked with one centre, so candidates grow with the bucket
 each candidate is confirmed on the full sets; a node meets one centre at a time.  Buckets that still
 hold several components go on, so that no link between different texts is lost: stars around the node
 closest to the bucket's consensus sketch until none joins anything more, and then all pairs across
-components whose sketches agree in at least ``ESTIMATE`` of the bins (over three standard deviations below
-the threshold), compared block by block.
+components, compared block by block: those whose sketches look alike first, then all that are left.  Of
+the last only pairs that cannot be alike are passed over: a set's parity has one bit for each of
+``PARITY`` groups of hashes, odd or even, and two sets differ in at least as many hashes as bits.
 
 A set without shingles is linked with nothing.  Null ids are left out of the graph and name themselves.
 Rows that share an id are one node.  Empty tables work; only doc_id and text are looked at.
@@ -29,8 +30,12 @@ WIDTH = 5
 PERCENT = 75
 BINS = 256
 ROWS = 5  # bins in a band: at a similarity of 0.75 some band agrees but for one pair in a million
-ESTIMATE = 0.66
+PARITY = 2048
+ESTIMATE = 0.66  # how much a star's candidates look alike
 LIKELY = 0.73  # pairs that look this much alike are confirmed before the others
+#: steps after the first star: is it a star, and how alike sketches must look (None: all that can be alike);
+#: a star is repeated until it joins nothing more
+STEPS = ((True, ESTIMATE), (False, LIKELY), (False, None))
 BLOCK = 2048  # nodes of a bucket that are compared with each other in one task
 MEMBERS = 512  # candidates of a centre that are confirmed in one task
 
@@ -71,6 +76,12 @@ _BAND = mix(np.arange(1, BINS // ROWS + 1, dtype=np.uint64))
 _PLACE = mix(np.arange(1001, 1001 + ROWS, dtype=np.uint64)) | _U(1)
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Whether each group of hashes has an odd number of a set's, 8 groups a byte."""
+    count = np.bincount((found & _U(PARITY - 1)).astype(np.int64), minlength=PARITY)
+    return np.packbits((count & 1).astype(np.uint8))
+
+
 def band_keys(values: np.ndarray) -> np.ndarray:
     """Bucket keys of a sketch, one of each band."""
     banded = values[: len(_BAND) * ROWS].reshape(-1, ROWS)
@@ -78,24 +89,25 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two sums that identify the set, bucket keys, and one byte of each bin."""
+    """doc_id, n_shingles, two sums that identify the set, bucket keys, one byte of each bin, and parity."""
 
     def work(rows):
         n = rows.num_rows
         size, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        keys, bins = [None] * n, [None] * n
+        keys, bins, odd = [None] * n, [None] * n, [None] * n
         for k, found in shingle_sets(rows):
             if len(found):
                 size[k], one[k], two[k] = len(found), mix(found).sum(), mix(found ^ _U(0x5BD1E995)).sum()
                 values = sketch(found)
                 keys[k] = band_keys(values)
                 bins[k] = (values & _U(255)).astype(np.uint8).tobytes()
+                odd[k] = parity(found).tobytes()
         yield batch(
             doc_id=rows.column("doc_id"), n_shingles=size, one=one.view(np.int64), two=two.view(np.int64),
-            keys=pa.array(keys, pa.list_(pa.int64())), bins=pa.array(bins, pa.binary()))
+            keys=pa.array(keys, pa.list_(pa.int64())), bins=pa.array(bins, pa.binary()), parity=pa.array(odd, pa.binary()))
 
     return by_batch(docs.select(F.col("doc_id").cast("long"), "text"), work,
-                    "doc_id long, n_shingles long, one long, two long, keys array<long>, bins binary")
+                    "doc_id long, n_shingles long, one long, two long, keys array<long>, bins binary, parity binary")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -158,34 +170,39 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(_alike(near, sets, "hashes", np.uint64), "links")
 
 
-_COLUMNS = ("node", "component", "n", "bins", "band", "side", "chosen")
+_COLUMNS = ("node", "component", "n", "sketch", "band", "side", "chosen")
 
 
-def _pairs_in(found: list, star: bool, least: float):
+def _pairs_in(found: list, star: bool, least: float | None):
     """Candidates among the rows of one cell: arrays a, b and how alike their sketches look.
 
-    Only nodes of different components and fitting sizes whose sketches agree enough.  In a star the
+    Only nodes of different components and fitting sizes whose sketches agree enough; without ``least``
+    the sketch is the parity, and only pairs that differ in too many hashes for their sizes are left out.  In a star the
     centre, closest to what most sketches say in each bin, meets the nodes that chose this bucket;
     otherwise each pair meets once in a cell, and only in the first band whose bucket both are in.
     """
     node, part, n, band, side, chosen = (np.array([r[c] for r in found]) for c in (0, 1, 2, 4, 5, 6))
-    bins = np.frombuffer(b"".join(r[3] for r in found), np.uint8).reshape(len(found), BINS)
+    sketches = np.frombuffer(b"".join(r[3] for r in found), np.uint8).reshape(len(found), -1)
+    words = sketches.view(np.uint64) if least is None else None
     keys = None if star else np.stack([r[7] for r in found])
 
     def alike(k, there):
         fit = there[(part[there] != part[k]) & (100 * np.minimum(n[there], n[k]) >= PERCENT * np.maximum(n[there], n[k]))]
-        same = bins[fit] == bins[k]
-        like = (same.mean(1) - 1 / 256) / (1 - 1 / 256)
-        good = like >= least
+        if least is None:
+            apart, both = np.bitwise_count(words[fit] ^ words[k]).sum(1, dtype=np.int64), n[fit] + n[k]
+            like, good = 1 - apart / both, (100 + PERCENT) * apart <= (100 - PERCENT) * both
+        else:
+            like = ((sketches[fit] == sketches[k]).mean(1) - 1 / 256) / (1 - 1 / 256)
+            good = like >= least
         if not star:
             some = np.flatnonzero(good)
             good[some] = (keys[fit[some]] == keys[k]).argmax(1) == band[k]
         return np.full(int(good.sum()), node[k]), node[fit[good]], like[good]
 
     if star:
-        flat = bins.astype(np.int64) + 256 * np.arange(BINS)
+        flat = sketches.astype(np.int64) + 256 * np.arange(BINS)
         mode = np.bincount(flat.ravel(), minlength=256 * BINS).reshape(BINS, 256).argmax(1).astype(np.uint8)
-        yield alike(int((bins == mode).sum(1).argmax()), np.flatnonzero(chosen))
+        yield alike(int((sketches == mode).sum(1).argmax()), np.flatnonzero(chosen))
         return
     one_block = side.min() == side.max()
     for k in range(len(found) - 1):
@@ -193,7 +210,7 @@ def _pairs_in(found: list, star: bool, least: float):
         yield alike(k, np.arange(k + 1, len(found)) if one_block else np.flatnonzero(side > side[k]))
 
 
-def _bucket_pairs(rows: DataFrame, star: bool, least: float) -> DataFrame:
+def _bucket_pairs(rows: DataFrame, star: bool, least: float | None) -> DataFrame:
     """Candidate pairs (a, b) in the cells of buckets."""
 
     def work(batches):
@@ -242,8 +259,8 @@ def _in_cells(rows: DataFrame, star: bool) -> DataFrame:
     return rows.select("key", "cell", *_COLUMNS, *(() if star else ("keys",)))
 
 
-def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool) -> DataFrame:
-    """Rows of the buckets that still hold several components; for stars, of those that some node chose:
+def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool, sketch: str) -> DataFrame:
+    """Rows of the buckets that still hold several components, with one of the sketches; for stars, of those that some node chose:
     the largest of its buckets."""
     named = met.select("key", "band", "node").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -256,7 +273,7 @@ def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool) ->
         rows = rows.join(choice, "node").withColumn("chosen", F.col("key") == F.col("_choice")).drop("_choice")
         rows = rows.join(choice.select(F.col("_choice").alias("key")).distinct(), "key", "left_semi")
     return _in_cells(
-        rows.join(leaders.select("node", F.col("n_shingles").alias("n"), "bins", "keys"), "node"), star)
+        rows.join(leaders.select("node", F.col("n_shingles").alias("n"), F.col(sketch).alias("sketch"), "keys"), "node"), star)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -271,8 +288,8 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     # equal sets: one node, named by the smallest id (copies fold before the shuffle)
     leaders = materialize(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(
-            F.min("doc_id").alias("node"), F.min_by(F.struct("keys", "bins"), "doc_id").alias("s"))
-        .select(*same, "node", "s.keys", "s.bins"), "leaders")
+            F.min("doc_id").alias("node"), F.min_by(F.struct("keys", "bins", "parity"), "doc_id").alias("s"))
+        .select(*same, "node", "s.keys", "s.bins", "s.parity"), "leaders")
     buckets = leaders.select(F.posexplode("keys").alias("band", "key"), "node")
     centre = F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))
     shared = buckets.groupBy("key").agg(centre.alias("_centre"), F.count("*").alias("_n")).filter("_n > 1")
@@ -283,11 +300,10 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("_c.node").alias("a"), "b").filter("a <> b")
     links = confirm(star, sets)
     found = components(links)
-    # stars until they join nothing more, then all pairs: likely ones, and what is left after those
-    steps = [(True, ESTIMATE), (False, LIKELY), (False, ESTIMATE)]
+    steps = list(STEPS)
     while steps:
         star, least = steps[0]
-        rows = _mixed(met, found, leaders, star)
+        rows = _mixed(met, found, leaders, star, "parity" if least is None else "bins")
         more = confirm(_bucket_pairs(rows, star, least), sets)
         joined = not more.isEmpty()
         if joined:

@@ -262,8 +262,8 @@ def meetings(one, two, least):
     bands = np.flatnonzero(keys[0] == keys[1])
     n = 0
     for band in bands.tolist():
-        rows = [[k, k, len(s), (sketches[k] & np.uint64(255)).astype(np.uint8).tobytes(), band, 0, True, keys[k]]
-                for k, s in enumerate((one, two))]
+        looks = [(x & np.uint64(255)).astype(np.uint8) for x in sketches] if least is not None else [minhash.parity(s) for s in (one, two)]
+        rows = [[k, k, len(s), looks[k].tobytes(), band, 0, True, keys[k]] for k, s in enumerate((one, two))]
         n += sum(len(a) for a, _, _ in minhash._pairs_in(rows, False, least))
     return n, len(bands) > 0
 
@@ -274,6 +274,18 @@ def test_op8_pairs_meet_in_one_of_their_buckets():
         assert n == shared
 
 
+def test_op8_last_step_leaves_out_no_link():
+    unlike = 0
+    for shared, own, n in ((6, 1, 1500), (120, 20, 1500), (6000, 1000, 20)):  # similarity 0.75, the least that links
+        for one, two in set_pairs(shared, own, n, 4):
+            met, shares = meetings(one, two, minhash.STEPS[-1][1])
+            assert met == shares
+            unlike += meetings(one, two, 0.66)[0] < shares
+    assert unlike > 0  # sketches alone would have lost some
+    for one, two in set_pairs(100, 100, 200, 4):  # similarity 1/3: ruled out
+        assert meetings(one, two, None)[0] == 0
+
+
 def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
