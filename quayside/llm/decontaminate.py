@@ -275,7 +275,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window.  Rows of one id go together."""
-    bad = contamination(docs, table(spark, sf_dir, "benchmark"), slack=0).filter(F.size("hits") > 0).select(
-        F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti").select(*docs.columns)
+    """Documents without any benchmark window.  Rows of one id go together, rows without an id each by itself."""
+    benchmark = table(spark, sf_dir, "benchmark")
+
+    def clean(rows, name):
+        bad = contamination(rows.withColumn("doc_id", F.col(name).cast("long")), benchmark, slack=0).filter(
+            F.size("hits") > 0).select(F.col("doc_id").alias("_bad")).distinct()
+        return rows.join(bad, rows[name] == bad["_bad"], "left_anti").select(*docs.columns)
+
+    named = clean(docs.filter("doc_id is not null"), "doc_id")
+    nameless = docs.filter("doc_id is null")
+    if nameless.isEmpty():
+        return named
+    return named.unionByName(clean(materialize(nameless.withColumn("_row", F.monotonically_increasing_id()), "nameless"), "_row"))

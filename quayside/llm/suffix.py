@@ -17,7 +17,9 @@ Repeats within one batch are settled before the shuffle, so a passage that a lar
 shares arrives once per batch.  Identifiers have 128 bits where equality decides.
 
 Order is by doc_id (null first), then offset.  Null and short texts keep all bytes.  Rows that repeat an
-id and text count as one document and get the same result; other columns are ignored.  Empty tables work.
+id and text count as one document and get the same result; other columns are ignored.  Rows without an id
+are documents of their own, as are rows of one id with different texts: ``tie`` tells them apart and orders
+them.  Empty tables work.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..settings import scratch
+from ..settings import materialize, scratch
 from .arrays import CODES, CODES_2, Rolling, first_smallest, mix, texts_of
 from .shared import batch, by_batch, stored, table, tidy
 
@@ -58,7 +60,7 @@ def _runs(text: np.ndarray):
 
 def _texts(rows):
     data, offsets = texts_of(rows.column("text"))
-    for k, name in enumerate(rows.column("id").to_pylist()):
+    for k, name in enumerate(zip(rows.column("id").to_pylist(), rows.column("tie").to_pylist())):
         yield k, name, data[offsets[k] : offsets[k + 1]]
 
 
@@ -70,32 +72,32 @@ def _parts_of(place):
 
 
 def _batch_runs(rows):
-    """All runs of a batch in order of key, extent, id and place, and which repeat an earlier one."""
+    """All runs of a batch in order of key, extent, id, tie and place, and which repeat an earlier one."""
     parts, names = [], []
     for _, name, text in _texts(rows):
         for found in _runs(text):
             parts.append(found)
-            names.append(np.full(len(found[0]), name, np.int64))
+            names.append(np.tile(np.array(name, np.int64), (len(found[0]), 1)))
     if not parts:
         return None
     key, extent, place = (np.concatenate([p[c] for p in parts]) for c in range(3))
     name = np.concatenate(names)
-    order = np.lexsort((place, name, extent, key))
+    order = np.lexsort((place, name[:, 1], name[:, 0], extent, key))
     key, extent, place, name = key[order], extent[order], place[order], name[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (extent[1:] != extent[:-1])
     lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
     # a row that is there twice is not its own repeat
-    repeat = (name != name[lead]) | (place != place[lead])
+    repeat = (name != name[lead]).any(1) | (place != place[lead])
     return key, extent, place, name, new, repeat
 
 
 def _spans(name, start, end):
-    """Overlapping spans of each id made one: rows id, spans (pairs of 4-byte numbers)."""
-    order = np.lexsort((start, name))
+    """Overlapping spans of each id and tie made one: rows id, tie, spans (pairs of 8-byte numbers)."""
+    order = np.lexsort((start, name[:, 1], name[:, 0]))
     name, start, end = name[order], start[order], end[order]
     out_name, out = [], []
-    cuts = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]])) if len(name) else [0]
+    cuts = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]).any(1), [True]])) if len(name) else [0]
     for a, b in zip(cuts[:-1], cuts[1:]):
         reach = np.maximum.accumulate(end[a:b])
         fresh = np.concatenate([[True], start[a + 1 : b] > reach[:-1]])
@@ -103,7 +105,8 @@ def _spans(name, start, end):
         ends = reach[np.append(np.flatnonzero(fresh)[1:] - 1, b - a - 1)]
         out_name.append(name[a])
         out.append(np.stack([begins, ends], 1).astype("<i8").tobytes())
-    return batch(id=pa.array(out_name, pa.int64()), spans=pa.array(out, pa.binary()))
+    who = np.array(out_name, np.int64).reshape(-1, 2)
+    return batch(id=who[:, 0], tie=who[:, 1], spans=pa.array(out, pa.binary()))
 
 
 def _suffixes(docs: DataFrame) -> DataFrame:
@@ -112,9 +115,10 @@ def _suffixes(docs: DataFrame) -> DataFrame:
     def work(rows):
         if (found := _batch_runs(rows)) is not None:
             key, extent, place, name, new, _ = found
-            yield batch(key=key[new].view(np.int64), extent=extent[new].view(np.int64), id=name[new], place=place[new])
+            yield batch(key=key[new].view(np.int64), extent=extent[new].view(np.int64), id=name[new, 0], tie=name[new, 1],
+                        place=place[new])
 
-    return by_batch(docs, work, "key long, extent long, id long, place long")
+    return by_batch(docs, work, "key long, extent long, id long, tie long, place long")
 
 
 def _settled(docs: DataFrame) -> DataFrame:
@@ -127,13 +131,13 @@ def _settled(docs: DataFrame) -> DataFrame:
                 first, _, last = _parts_of(place[repeat])
                 yield _spans(name[repeat], first, last + LENGTH)
 
-    return by_batch(docs, work, "id long, spans binary")
+    return by_batch(docs, work, "id long, tie long, spans binary")
 
 
 def _halves(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """The bytes of the given runs, in buckets one step deeper: strings that go ``STEP`` bytes beyond
     the anchor's gram are known by it and those bytes, the others by it and the bytes before it."""
-    wanted = runs.groupBy("id").agg(F.collect_list("place").alias("places"))
+    wanted = runs.groupBy("id", "tie").agg(F.collect_list("place").alias("places"))
 
     def work(rows):
         places = rows.column("places")
@@ -157,15 +161,16 @@ def _halves(docs: DataFrame, runs: DataFrame) -> DataFrame:
                     s, e, at = s[some], e[some], a[some]
                     gram = hashes.spans(at, at + GRAM + STEP) if beyond else hashes.spans(at - STEP - 1, at + GRAM)
                     subs.append(mix(gram + np.uint64(beyond)))
-                    names.append(np.full(len(s), who, np.int64))
+                    names.append(np.tile(np.array(who, np.int64), (len(s), 1)))
                     starts.append(s + low)
                     counts.append(e - s + 1)
                     data += [raw[x:y] for x, y in zip(s.tolist(), (e + LENGTH).tolist())]
         if subs:
-            yield batch(sub=np.concatenate(subs).view(np.int64), id=np.concatenate(names), first=np.concatenate(starts),
+            name = np.concatenate(names)
+            yield batch(sub=np.concatenate(subs).view(np.int64), id=name[:, 0], tie=name[:, 1], first=np.concatenate(starts),
                         count=np.concatenate(counts), data=pa.array(data, pa.binary()))
 
-    return by_batch(docs.join(wanted, "id"), work, "sub long, id long, first long, count long, data binary")
+    return by_batch(docs.join(wanted, ["id", "tie"]), work, "sub long, id long, tie long, first long, count long, data binary")
 
 
 def _repeated_strings(halves: DataFrame) -> DataFrame:
@@ -178,7 +183,8 @@ def _repeated_strings(halves: DataFrame) -> DataFrame:
     def work(batches):
         open_sub, seen = None, np.zeros((2, 0), np.uint64)
         for rows in batches:
-            sub, name, first, count = (rows.column(c).to_numpy() for c in ("sub", "id", "first", "count"))
+            sub, name, tie, first, count = (rows.column(c).to_numpy() for c in ("sub", "id", "tie", "first", "count"))
+            name = np.stack([name, tie], 1)
             raw = rows.column("data").to_pylist()
             ends = np.cumsum([len(x) for x in raw])
             begin = ends - np.array([len(x) for x in raw])
@@ -213,36 +219,53 @@ def _repeated_strings(halves: DataFrame) -> DataFrame:
             seen = np.concatenate([seen, np.stack([one[here], two[here]])], 1)
             seen = seen[:, np.argsort(seen[0], kind="stable")]
 
-    return halves.repartition("sub").sortWithinPartitions("sub", "id", "first").mapInArrow(tidy(work), "id long, spans binary")
+    return halves.repartition("sub").sortWithinPartitions("sub", "id", "tie", "first").mapInArrow(
+        tidy(work), "id long, tie long, spans binary")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """id, lists of spans and places of runs of its text that start earlier elsewhere; all may overlap."""
+    """id, tie, lists of spans and places of runs of its text that start earlier elsewhere; all may overlap."""
     with scratch(docs.sparkSession) as files:
         return files.keep(_repeats(docs), "repeats")
 
 
 def _repeats(docs: DataFrame) -> DataFrame:
-    order = F.struct("id", "place")
-    bucket = Window.partitionBy("key", "extent").orderBy("id", "place")
+    order = F.struct("id", "tie", "place")
+    bucket = Window.partitionBy("key", "extent").orderBy("id", "tie", "place")
     anchor = Window.partitionBy("key")
     decided = stored(
         _suffixes(docs)
         .withColumn("repeat", F.first(order).over(bucket) != order)
         .withColumn("mixed", F.min("extent").over(anchor) != F.max("extent").over(anchor))
-        .filter("repeat or mixed").select("id", "place", "repeat"),
+        .filter("repeat or mixed").select("id", "tie", "place", "repeat"),
         "runs")
-    strings = _repeated_strings(_halves(docs, decided.filter("not repeat").select("id", "place").distinct()))
-    lists = _settled(docs).unionByName(strings).groupBy("id").agg(F.collect_list("spans").alias("lists"))
-    places = decided.filter("repeat").groupBy("id").agg(F.collect_list("place").alias("places"))
-    return lists.join(places, "id", "full")
+    strings = _repeated_strings(_halves(docs, decided.filter("not repeat").select("id", "tie", "place").distinct()))
+    lists = _settled(docs).unionByName(strings).groupBy("id", "tie").agg(F.collect_list("spans").alias("lists"))
+    places = decided.filter("repeat").groupBy("id", "tie").agg(F.collect_list("place").alias("places"))
+    return lists.join(places, ["id", "tie"], "full")
+
+
+def _told_apart(docs: DataFrame, text: str, id_col: str) -> DataFrame:
+    """All columns, and ``id`` and ``tie``, which name a document and order it among all.
+
+    Mostly an id says all.  If there are rows without an id, or ids with several texts, rows are stored
+    once with a number: those without an id are told apart by it, the others by their text.
+    """
+    keyed = docs.withColumn("id", F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)))
+    texts = F.xxhash64(text)
+    unclear = keyed.groupBy("id").agg(F.count("*").alias("_n"), F.min(texts).alias("_low"), F.max(texts).alias("_high"))
+    if unclear.filter((F.col("_low") != F.col("_high")) | ((F.col("id") == _NULL) & (F.col("_n") > 1))).isEmpty():
+        return keyed.withColumn("tie", F.lit(0).cast("long"))
+    stored_rows = materialize(keyed.withColumn("tie", F.monotonically_increasing_id()), "rows")
+    return stored_rows.withColumn("tie", F.when(F.col(id_col).cast("long").isNull(), F.col("tie") + F.lit(_NULL))
+                                  .otherwise(texts.bitwiseAND(F.lit((1 << 63) - 1))))
 
 
 def with_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """All columns, and what repeats in the text's bytes as ``lists`` and ``places``, null if nothing does."""
-    keyed = docs.withColumn("id", F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)))
-    found = repeats(keyed.select("id", F.col(text).alias("text")))
-    return keyed.join(found, "id", "left")
+    keyed = _told_apart(docs, text, id_col)
+    found = repeats(keyed.select("id", "tie", F.col(text).alias("text")))
+    return keyed.join(found, ["id", "tie"], "left")
 
 
 def _merged(lists, places) -> np.ndarray:

@@ -337,6 +337,34 @@ def test_null_and_repeated_rows(spark, folder, tmp_path, name):
     assert len(llm.QUERIES[name](spark, str(tmp_path)).collect()) == 5
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark, folder, tmp_path):
+    r = random.Random(8)
+    said = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    passage, copied = said(40), said(30)
+    texts = [said(40) + "K" + passage + "K" + said(5), said(20), passage + "L" + said(60), said(3), copied, copied, None, said(90) + " uno dos tres "
+             "cuatro cinco seis siete ocho nueve diez once"]
+    rows = [(None, x) for x in texts] + [(4, said(50)), (4, said(2) + "M" + passage), (5, "N" + passage + "N" + said(9)), (5, said(70)), (6, said(30))]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = llm.QUERIES["op1_suffix_dedup"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(0 <= g["n_removed"] <= g["n_bytes"] for g in got)
+    # all rows that hold the passage but the first lose it; letters around it differ
+    size = collections.defaultdict(list)
+    for g in got:
+        size[g["doc_id"], g["n_bytes"]].append(g["n_removed"])
+    for name, text in rows:
+        removed = size[name, len((text or "").encode())]
+        if text == copied:
+            assert sorted(removed) == [0, len(copied)]
+        elif text is None or passage not in text:
+            assert removed == [0]
+    assert sorted(sum(size[n, len(x)][0] for n, x in rows if n == k and x and passage in x) for k in (4, 5)) == [len(passage)] * 2
+    assert sorted(size[None, len(x)][0] for x in texts if x and passage in x) == [0, len(passage)]
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = dict(corpus_pipeline.STAGES)["benchmark_passages"](spark, frame, str(tmp_path)).collect()
+    assert sorted(map(repr, kept)) == sorted(repr(g) for g in frame.collect() if "uno dos" not in (g["text"] or ""))
+
+
 def test_pipeline_stages(spark, folder):
     frame = spark.read.parquet(f"{folder}/documents.parquet")
     columns, before = frame.columns, frame
