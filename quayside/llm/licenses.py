@@ -64,13 +64,68 @@ FAMILIES = (
 PHRASINGS = (
     (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?{name}(?: {version})", 0.98, 90),
     (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?{name}", 0.95, 80),
-    (r"spdx license identifier {name}(?: {version})", 0.99, 95),
     (r"{name}(?: {version}) or (?:any )?later", 0.97, 85),
     (r"{name}(?: {version})", 0.9, 60),
     (r"(?:subject to|governed by|see|under) (?:the )?{name}", 0.85, 50),
     (r"{name}", 0.7, 30),
 )
 
+# fixed values: label, short identifier, versions, and whether it says a license with just a version beside it
+SHORT = (
+    ("agpl", "agpl", "1 3", True),
+    ("apache", "apache", "1 1.1 2", False),
+    ("artistic", "artistic", "1 2", False),
+    ("boost", "bsl", "1", True),
+    ("bsd", r"(?<!clause )bsd(?! \d clause )", "", False),
+    ("bsd-0", "0bsd", "", False),
+    ("bsd-2", "bsd 2 clause", "", False),
+    ("bsd-2", "2 clause bsd", "", False),
+    ("bsd-3", "bsd 3 clause", "", False),
+    ("bsd-3", "3 clause bsd", "", False),
+    ("cddl", "cddl", "1 1.1", True),
+    ("epl", "epl", "1 2", True),
+    ("eupl", "eupl", "1 1.1 1.2", True),
+    ("fdl", "gfdl", "1.1 1.2 1.3", True),
+    ("fdl", "fdl", "1.1 1.2 1.3", True),
+    ("gpl", "gpl", "1 2 3", True),
+    ("isc", "isc", "", False),
+    ("lgpl", "lgpl", "2 2.1 3", True),
+    ("lppl", "lppl", "1 1.1 1.2 1.3a 1.3c 1.3", True),
+    ("mit", "mit", "", False),
+    ("mpl", "mpl", "1 1.1 2", True),
+    ("ms-pl", "ms pl", "", False),
+    ("odbl", "odbl", "1", True),
+    ("ofl", "ofl", "1 1.1", True),
+    ("osl", "osl", "1 1.1 2 2.1 3", True),
+    ("psf", "psf", "2", True),
+    ("psf", "python", "2", False),
+    ("ruby", "ruby", "", False),
+    ("unlicense", "unlicense", "", False),
+    ("upl", "upl", "1", True),
+    ("vim", "vim", "", False),
+    ("wtfpl", "wtfpl", "1 2", True),
+    ("zlib", "zlib", "", False),
+    ("zpl", "zpl", "1.1 2 2.1", True),
+)
+
+# fixed values: ways to use a short identifier, keyword if not the identifier, how sure each is, and its priority
+SHORT_PHRASINGS = (
+    (r"spdx license identifier {name}{version}{range}", "spdx license identifier", 0.99, 99),
+    (r"spdx license identifier {name}", "spdx license identifier", 0.97, 98),
+    (r"spdx license identifier {operand}{name}{version}{range}", "spdx license identifier", 0.97, 97),
+    (r"spdx license identifier {operand}{name}", "spdx license identifier", 0.95, 96),
+    (r"spdx license identifier {operand}{operand}{name}{version}{range}", "spdx license identifier", 0.97, 95),
+    (r"spdx license identifier {operand}{operand}{name}", "spdx license identifier", 0.95, 94),
+    (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?{name}{version}{range}", "", 0.97, 89),
+    (r"(?:licensed|released) under (?:the )?(?:terms of (?:the )?)?{name}", "", 0.93, 79),
+    (r"{name}{version}{range} licen[cs]ed?", "", 0.93, 70),
+    (r"{name}{version} (?:only|or (?:any )?(?:later|newer))", "", 0.95, 69),
+    (r"{name} licen[cs]ed?", "", 0.85, 54),
+)
+BARE = (r"{name}{version}", "", 0.85, 53)
+OPERAND = "(?:or later |(?!(?:or|and) )[^ ]+ ){1,4}(?:or|and) "  # of an SPDX expression
+RANGE = "(?: only| or (?:any )?(?:later|newer))?"
+
 # fixed values: rules written out: label, expression, keyword, sureness, priority
 WRITTEN = (
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "hereby granted", 0.97, 92),
@@ -91,7 +146,8 @@ CC_NAMES = {"by": "attribution", "sa": "sharealike", "nd": "noderivatives", "nc"
 
 #: no rule matches a text without any of these
 ROOTS = (b"licen", b"copyright", b"public domain", b"all rights reserved", b"cc", b"creative commons", b"hereby granted",
-         b"redistribution", b"contributors", b"permission to use", b"proprietary", b"may be reproduced", b"spdx")
+         b"redistribution", b"contributors", b"permission to use", b"proprietary", b"may be reproduced", b"spdx",
+         *(f" {name}".encode() for _, name, versions, _ in SHORT if versions))
 
 
 @dataclass(frozen=True)
@@ -109,7 +165,7 @@ def _rule(label, expression, keyword, score, priority) -> Rule:
 
 
 def rules() -> list[Rule]:
-    """All rules, highest priority first: those written out, and family by version by phrasing."""
+    """All rules, highest priority first: those written out, and family by version by phrasing, by long and short name."""
     made = [_rule(*w) for w in WRITTEN]
     for terms in CC_TERMS:
         label, spelled = "cc-" + terms.replace(" ", "-"), " ".join(CC_NAMES[t] for t in terms.split())
@@ -128,6 +184,17 @@ def rules() -> list[Rule]:
             for version in versions.split():
                 spelled = "(?:version |v)?" + version.replace(".", " ") + ("" if "." in version else "(?: 0)?")
                 made.append(_rule(f"{family}-{version}", phrasing.format(name=name, version=spelled), name, score, priority))
+    for family, name, versions, alone in SHORT:
+        plain = re.sub(r"\(\?[^)]*\)", "", name)
+        for phrasing, keyword, score, priority in (*SHORT_PHRASINGS, *([BARE] if alone else ())):
+            if "{version}" not in phrasing:
+                made.append(_rule(family, phrasing.format(name=name, operand=OPERAND), keyword or plain, score, priority))
+                continue
+            for version in versions.split():
+                # "gpl 3 0", "gplv3", "gpl version 3", but 2 is not the beginning of 2.1
+                spelled = " ?(?:version |v)?" + version.replace(".", " ") + ("" if "." in version else "(?: 0)?") + r"(?! \d[a-c]? )"
+                made.append(_rule(f"{family}-{version}", phrasing.format(name=name, version=spelled, range=RANGE, operand=OPERAND),
+                                  keyword or plain, score, priority))
     return sorted(made, key=lambda r: (-r.priority, r.label, r.pattern.pattern))
 
 

@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quayside.llm import fingerprints as fp, minhash, queries as llm
+from quayside.llm import fingerprints as fp, licenses, minhash, queries as llm
 from quayside.llm.tokens import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, shard string, spans string, node int, key string"
@@ -302,6 +302,41 @@ def test_op9_base_phrases(result):
         assert set(row["base_labels"].split(",")) <= set(row["labels"].split(",")) or not at
 
 
+#: one SPDX line and one abbreviated notice of each family
+SHORT_NOTICES = [
+    ("AGPL-3.0-only", "AGPLv3 or later", "agpl-3"), ("Apache-2.0", "Licensed under Apache 2.0", "apache-2"),
+    ("Apache-1.1", "licensed under the Apache 1.1 license", "apache-1.1"), ("Artistic-2.0", "released under Artistic 2.0", "artistic-2"),
+    ("BSL-1.0", "distributed under BSL-1.0", "boost-1"), ("0BSD", "licensed under 0BSD", "bsd-0"),
+    ("BSD-2-Clause", "licensed under the 2-clause BSD license", "bsd-2"), ("BSD-3-Clause", "BSD-3-Clause licensed", "bsd-3"),
+    ("CDDL-1.0", "available under the CDDL 1.0", "cddl-1"), ("EPL-2.0", "EPL v2.0", "epl-2"), ("EUPL-1.2", "EUPL-1.2", "eupl-1.2"),
+    ("GFDL-1.3-or-later", "FDL 1.3", "fdl-1.3"), ("GPL-3.0-or-later", "licensed under GPLv3", "gpl-3"),
+    ("GPL-2.0-only", "GPL-2.0-or-later", "gpl-2"), ("ISC", "ISC licensed", "isc"), ("LGPL-2.1", "LGPL-2.1", "lgpl-2.1"),
+    ("LGPL-3.0-only", "under LGPLv3+", "lgpl-3"), ("LPPL-1.3c", "LPPL 1.3c", "lppl-1.3c"), ("MIT", "MIT licensed", "mit"),
+    ("MPL-2.0", "MPL-2.0", "mpl-2"), ("MS-PL", "licensed under the MS-PL", "ms-pl"), ("ODbL-1.0", "ODbL v1.0", "odbl-1"),
+    ("OFL-1.1", "SIL OFL 1.1", "ofl-1.1"), ("OSL-3.0", "OSL 3.0", "osl-3"), ("PSF-2.0", "PSF 2.0", "psf-2"),
+    ("Python-2.0", "licensed under Python 2.0", "psf-2"), ("Ruby", "released under the Ruby licence", "ruby"),
+    ("Unlicense", "released under the Unlicense", "unlicense"), ("UPL-1.0", "UPL 1.0", "upl-1"), ("Vim", "Vim licensed", "vim"),
+    ("WTFPL", "licensed under the WTFPL", "wtfpl"), ("Zlib", "zlib licensed", "zlib"), ("ZPL-2.1", "ZPL 2.1", "zpl-2.1"),
+]
+
+
+@pytest.mark.parametrize("line, notice, label", SHORT_NOTICES)
+def test_op9_short_identifiers(line, notice, label):
+    for text in (f"# SPDX-License-Identifier: {line}\n", f"x = 1  # {notice}."):
+        assert {d[0] for d in licenses.detections(text)[1]} == {label}
+
+
+def test_op9_spdx_expressions():
+    for line, labels in (("MIT OR Apache-2.0", {"mit", "apache-2"}), ("Apache-2.0 OR MIT", {"mit", "apache-2"}),
+                         ("GPL-2.0-or-later AND (BSD-3-Clause OR MIT)", {"gpl-2", "bsd-3", "mit"})):
+        assert {d[0] for d in licenses.detections(f"// SPDX-License-Identifier: {line}")[1]} == labels
+
+
+def test_op9_short_names_in_other_text():
+    for text in ("Apache 2.4 served it", "a vim user and a ruby fan at MIT", "python 2 and zlib 1.2", "gplus 3"):
+        assert licenses.detections(text)[1] == []
+
+
 def test_op10_exact_windows(result):
     items = [(k, t) for k, t in enumerate(ITEMS)] + [(9, ITEMS[1])]
     for name, row in by_id(result("op10_decontaminate")).items():
