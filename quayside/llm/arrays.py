@@ -49,10 +49,20 @@ class Rolling:
     """Hashes of any span of a byte array in constant time: prefix sums of code times power."""
 
     def __init__(self, data: np.ndarray, codes: np.ndarray = CODES):
-        n = len(data)
+        self._sum(codes[data])
+
+    @classmethod
+    def over(cls, values: np.ndarray) -> Rolling:
+        """The same for a row of 64-bit values, such as hashes of words."""
+        self = cls.__new__(cls)
+        self._sum(values)
+        return self
+
+    def _sum(self, values: np.ndarray) -> None:
+        n = len(values)
         up, self.down = _power_tables(n + 1)
         self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes[data] * up[:n], dtype=np.uint64, out=self.prefix[1:])
+        np.cumsum(values * up[:n], dtype=np.uint64, out=self.prefix[1:])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of each [start, end), its length included."""
@@ -124,6 +134,33 @@ def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[
     return Rolling(lower).spans(starts, ends), np.searchsorted(starts, offsets)
 
 
+def word_bounds(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of some texts start and end, and the first word of each text (one more than texts).
+
+    As in ``words_of``, but bytes count as they are.
+    """
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = table[data]
+    step = np.diff(inside)
+    first, last = step > 0, step < 0
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    through = edges[(inside[edges] > 0) & (inside[edges + 1] > 0)]  # words that touch across two texts
+    first[through] = last[through] = True
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = CODES) -> np.ndarray:
+    """Hash of each word; a long text is hashed a part at a time, so that memory follows its words."""
+    out, k = np.zeros(len(starts), np.uint64), 0
+    while k < len(starts):
+        m = max(k + 1, int(np.searchsorted(ends, starts[k] + GROUP_BYTES, "right")))
+        low = starts[k]
+        out[k:m] = Rolling(data[low : ends[m - 1]], codes).spans(starts[k:m] - low, ends[k:m] - low)
+        k = m
+    return out
+
+
 _STEPS = mix(np.arange(1, 4097, dtype=np.uint64))
 
 

@@ -13,15 +13,20 @@ from ..settings import materialize
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``materialize``, and then let Spark drop the shuffle files that led there.
+    """``materialize``, and then let Spark drop the shuffle files that led there."""
+    df = materialize(df, name)
+    drop_shuffles(df.sparkSession)
+    return df
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans no longer held.
 
     Spark's cleaner drops them once the driver's memory is collected, which a driver with little to do
     may put off for half an hour.
     """
-    spark, df = df.sparkSession, materialize(df, name)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
