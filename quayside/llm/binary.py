@@ -5,7 +5,8 @@ a bitmap that says which ids go on; level 1 has the second chunk of just those,
 own, and so on.  A directory of ones before each block of a bitmap gives the place in the next level,
 so any id can be read alone: no block is decoded.
 
-A file is Parquet with one row per run of whole documents: their ids, where each begins, and the codes.
+A file is Parquet with one row per run of whole documents: their ids, where each begins, the codes, and how many ids
+of the same part come before, so that reading moves no codes.
 Rows follow ascending doc_id (nulls first, then text order).  Null texts are empty: one end id.
 Repeated rows are written as often as they occur; an empty table gives an empty file.
 """
@@ -79,7 +80,12 @@ class Codes:
             if not len(who):
                 break
             # ones before a place: directory, whole bytes of its block, bits of its byte
-            blocks, which = np.unique(at // BLOCK, return_inverse=True)
+            block = at // BLOCK
+            low_block, n_blocks = block.min(), block.max() - block.min() + 1
+            if n_blocks <= len(at):  # places close together: all blocks from the first to the last
+                blocks, which = np.arange(low_block, low_block + n_blocks), block - low_block
+            else:
+                blocks, which = np.unique(block, return_inverse=True)
             ones = np.bitwise_count(bits.reshape(-1, BLOCK // 8)[blocks]).astype(np.uint16)
             inside = np.cumsum(ones, 1, dtype=np.uint16) - ones
             low = np.bitwise_count(bits[byte] & ((1 << (at & 7)) - 1).astype(np.uint8))
@@ -95,7 +101,7 @@ def write(docs: DataFrame, path: str, vocab: str, end: int = END, ids_per_row: i
 
     def work(batches):
         part, row = TaskContext.get().partitionId(), 0
-        held, names, sizes, n = [], [], [], 0
+        held, names, sizes, n, before = [], [], [], 0, 0
         for rows in batches:
             doc = rows.column("doc_id").to_pylist()
             for i, ids, begin in encoder(vocab).column(rows.column("text")):
@@ -105,14 +111,14 @@ def write(docs: DataFrame, path: str, vocab: str, end: int = END, ids_per_row: i
                     sizes.append(int(begin[k + 1] - begin[k]) + 1)
                     n += sizes[-1]
                     if n >= ids_per_row:
-                        yield one(part, row, held, names, sizes, n)
-                        held, names, sizes, n, row = [], [], [], 0, row + 1
+                        yield one(part, row, before, held, names, sizes, n)
+                        held, names, sizes, n, row, before = [], [], [], 0, row + 1, before + n
         if n:
-            yield one(part, row, held, names, sizes, n)
+            yield one(part, row, before, held, names, sizes, n)
 
-    def one(part, row, held, names, sizes, n):
+    def one(part, row, before, held, names, sizes, n):
         return batch(
-            part=pa.array([part], pa.int32()), row=pa.array([row], pa.int32()),
+            part=pa.array([part], pa.int32()), row=pa.array([row], pa.int32()), before=pa.array([before], pa.int64()),
             doc_ids=pa.array([names], pa.list_(pa.int64())), lengths=pa.array([sizes], pa.list_(pa.int64())),
             n_ids=pa.array([n], pa.int64()), codes=pa.array([encode(np.concatenate(held))], pa.binary()),
         )
@@ -121,7 +127,7 @@ def write(docs: DataFrame, path: str, vocab: str, end: int = END, ids_per_row: i
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-        .mapInArrow(tidy(work), "part int, row int, doc_ids array<long>, lengths array<long>, n_ids long, codes binary")
+        .mapInArrow(tidy(work), "part int, row int, before long, doc_ids array<long>, lengths array<long>, n_ids long, codes binary")
         .write.parquet(path)
     )
 
@@ -129,18 +135,17 @@ def write(docs: DataFrame, path: str, vocab: str, end: int = END, ids_per_row: i
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The documents of the files: doc_id, start, n_tokens, ids_crc32, each read by its addresses."""
     files = spark.read.parquet(path)
-    # one row per range, as many as shuffle partitions, whatever the data
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = files.groupBy("part").agg(F.sum("n_ids").alias("_n")).select(
-        "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    # a row per run of documents
-    in_part = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    runs = files.select("part", "row", F.coalesce(F.sum("n_ids").over(in_part), F.lit(0)).alias("_in")).join(
-        F.broadcast(parts), "part").select("part", "row", (F.col("_before") + F.col("_in")).alias("_start"))
+    # a row says how many ids of its part come before it; one row per part, as many as shuffle partitions whatever the
+    # data, says how many of other parts do: the codes are read where they lie
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
+    runs = files.join(F.broadcast(parts), "part").select(
+        "doc_ids", "lengths", "codes", (F.col("part_start") + F.col("before")).alias("start"))
 
     def work(batches):
         for rows in batches:
-            for names, sizes, data, start in zip(*(rows.column(c) for c in ("doc_ids", "lengths", "codes", "_start"))):
+            for names, sizes, data, start in zip(*(rows.column(c) for c in ("doc_ids", "lengths", "codes", "start"))):
                 codes, sizes = Codes(data.as_py()), np.array(sizes.as_py(), np.int64)
                 ids, ends = codes.run(0, len(codes)).astype("<u4"), np.cumsum(sizes)
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
@@ -149,7 +154,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     n_tokens=sizes, ids_crc32=pa.array(crc, pa.int64()),
                 )
 
-    return files.join(runs, ["part", "row"]).mapInArrow(
+    return runs.mapInArrow(
         tidy(work), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

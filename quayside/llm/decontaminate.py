@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..settings import materialize, scratch
 from .arrays import WORDS, groups, mix, shingles, texts_of, words_of
-from .shared import batch, by_batch, table
+from .filters import make_filter, passes
+from .shared import batch, by_batch, numbered, table
 
 WINDOW = 10
 TERM = 3
 WINDOWS_PER_BLOCK = 100_000
-TERMS_IN_FILTER = 2_000_000
 
 
 def term_offsets(n: int) -> list[int]:
@@ -65,28 +65,20 @@ def windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
         "window long, n_words int, item string, terms array<struct<term: long, offset: int>>")
 
 
-def index(docs: DataFrame, widths: list[int], wanted: np.ndarray | None) -> DataFrame:
-    """Per document: n_words, and its terms (8 bytes each, in order) with their places (4 bytes each)."""
-    known = None if wanted is None else docs.sparkSession.sparkContext.broadcast(np.sort(wanted))
+def index(docs: DataFrame, widths: list[int], wanted: np.ndarray) -> DataFrame:
+    """Per document: n_words, and its terms (8 bytes each, in order) with their places (4 bytes each); of all terms those
+    that pass the filter ``wanted``."""
+    known = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def work(rows):
         ids = rows.column("doc_id")
         data, offsets = texts_of(rows.column("text"))
-        bits = None
-        if known is not None:
-            bits = np.zeros(1 << 24, bool)
-            bits[(known.value >> np.uint64(40)).astype(np.int64)] = True
         for i, j in groups(offsets):
             words, first = words_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], WORDS)
             found, place = [], []
             for width in widths:
                 terms = shingles(words, width)
-                if bits is None:
-                    at = np.arange(len(terms))
-                else:
-                    at = np.flatnonzero(bits[(terms >> np.uint64(40)).astype(np.int64)])
-                    near = np.searchsorted(known.value, terms[at])
-                    at = at[known.value[np.minimum(near, len(known.value) - 1)] == terms[at]]
+                at = np.flatnonzero(passes(known.value, terms))
                 found.append(terms[at])
                 place.append(at)
                 # a term must end in the document it begins in
@@ -133,7 +125,7 @@ class _Plan:
             for d, t in enumerate(r["ordered"]):
                 self.terms[k, d] = np.uint64(t["term"] & 0xFFFFFFFFFFFFFFFF)
                 self.offsets[k, d] = t["offset"]
-        self.items = [r["items"] for r in rows]
+        self.window = np.array([r["window"] for r in rows], np.int64)
         self.first = self.terms[:, 0] if depth else np.zeros(0, np.uint64)
         self.order = np.argsort(self.first, kind="stable")
         self.sorted = self.first[self.order]
@@ -144,8 +136,8 @@ def _key(doc, term, place):
 
 
 def search(stored: DataFrame, plan: _Plan, slack: int = 0) -> DataFrame:
-    """The index rows with ``hits`` (first word, end) and ``items`` of windows found, and ``near``:
-    windows found only with slack."""
+    """The index rows with ``hits`` (first word, end) and numbers of the ``windows`` found, and ``near``: how many
+    windows were found only with slack."""
     sent = stored.sparkSession.sparkContext.broadcast(plan)
 
     def work(rows):
@@ -186,9 +178,9 @@ def search(stored: DataFrame, plan: _Plan, slack: int = 0) -> DataFrame:
             close[here] &= around
         hits: dict[int, tuple[list, set]] = {}
         for k in np.flatnonzero(exact & close).tolist():
-            spans, items = hits.setdefault(int(where[k]), ([], set()))
+            spans, windows_ = hits.setdefault(int(where[k]), ([], set()))
             spans.append((int(start[k]), int(start[k] + plan.n_words[window[k]])))
-            items.update(plan.items[window[k]])
+            windows_.add(int(plan.window[window[k]]))
         near: dict[int, set] = {}
         for k in np.flatnonzero(close & ~exact).tolist():
             near.setdefault(int(where[k]), set()).add(int(window[k]))
@@ -197,12 +189,12 @@ def search(stored: DataFrame, plan: _Plan, slack: int = 0) -> DataFrame:
             row=rows.column("row"), doc_id=rows.column("doc_id"), n_words=rows.column("n_words"),
             hits=pa.array([[{"first": a, "end": b} for a, b in sorted(set(hits[k][0]))] if k in hits else [] for k in range(n)],
                           pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-            items=pa.array([sorted(hits[k][1]) if k in hits else [] for k in range(n)], pa.list_(pa.string())),
+            windows=pa.array([sorted(hits[k][1]) if k in hits else [] for k in range(n)], pa.list_(pa.int64())),
             near=pa.array([len(near.get(k, ())) for k in range(n)], pa.int64()),
         )
 
     return by_batch(stored, work, "row long, doc_id long, n_words long, hits array<struct<first: long, end: long>>, "
-                    "items array<string>, near long")
+                    "windows array<long>, near long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slack: int = 2) -> DataFrame:
@@ -213,38 +205,39 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sl
 
 def _contamination(docs: DataFrame, benchmark: DataFrame, width: int, slack: int) -> DataFrame:
     asked = materialize(windows(benchmark, width), "windows")
-    terms = asked.select(F.explode("terms.term").alias("term")).distinct()
-    n_terms = terms.count()
-    # bounded by the check: at most TERMS_IN_FILTER numbers
-    wanted = terms.toPandas()["term"].to_numpy(np.int64).view(np.uint64) if n_terms <= TERMS_IN_FILTER else None
+    terms = materialize(asked.select(F.explode("terms.term").alias("key")).distinct(), "terms")
     widths = sorted({min(r["n_words"], TERM) for r in asked.select("n_words").distinct().collect()}) or [TERM]
     stored = materialize(
-        index(docs, widths, wanted).select(F.monotonically_increasing_id().alias("row"), "*"), "index")
+        index(docs, widths, make_filter(terms, terms.count())).select(F.monotonically_increasing_id().alias("row"), "*"),
+        "index")
     ordered = (
-        asked.groupBy("window").agg(F.first("n_words").alias("n_words"), F.collect_set("item").alias("items"),
-                                    F.first("terms").alias("terms"))
-        .select("window", "n_words", "items", F.size("terms").alias("_many"), F.explode("terms").alias("t"))
+        asked.groupBy("window").agg(F.first("n_words").alias("n_words"), F.first("terms").alias("terms"))
+        .select("window", "n_words", F.size("terms").alias("_many"), F.explode("terms").alias("t"))
         .select("*", F.col("t.term").alias("term"), F.col("t.offset").alias("offset"))
         .join(term_counts(stored), "term")
-        .groupBy("window", "n_words", "items", "_many")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("ordered"))
+        .groupBy("window").agg(
+            F.first("n_words").alias("n_words"), F.first("_many").alias("_many"),
+            F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("ordered"))
         .filter(F.size("ordered") == F.col("_many"))  # a window with a term that never occurs is nowhere
     )
     ordered = materialize(ordered, "query")
     blocks = max(1, -(-ordered.count() // WINDOWS_PER_BLOCK))
-    found = [
-        search(stored, _Plan(ordered.filter(F.pmod(F.hash("window"), F.lit(blocks)) == k).collect()), slack)
-        for k in range(blocks)
-    ]
-    if blocks == 1:
-        return found[0].drop("row")
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionByName(more)
-    return whole.groupBy("row", "doc_id", "n_words").agg(
-        F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.sum("near").alias("near"),
-    ).drop("row")
+    whole = None
+    for k in range(blocks):
+        found = search(stored, _Plan(ordered.filter(F.pmod(F.hash("window"), F.lit(blocks)) == k).collect()), slack)
+        whole = found if whole is None else whole.unionByName(found)
+    if blocks > 1:
+        whole = whole.groupBy("row").agg(
+            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+            F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
+            F.flatten(F.collect_list("windows")).alias("windows"), F.sum("near").alias("near"))
+    whole = materialize(whole, "found")
+    # a window's items stay in Spark: however many share one, only numbers of windows were sent around
+    items = whole.select("row", F.explode("windows").alias("window")).join(
+        asked.select("window", "item").distinct(), "window").groupBy("row").agg(
+        F.array_sort(F.collect_set("item")).alias("items"))
+    return whole.join(items, "row", "left").select(
+        "doc_id", "n_words", "hits", F.coalesce("items", F.array().cast("array<string>")).alias("items"), "near")
 
 
 def summary(found: DataFrame) -> DataFrame:
@@ -275,16 +268,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window.  Rows of one id go together, rows without an id each by itself."""
-    benchmark = table(spark, sf_dir, "benchmark")
-
-    def clean(rows, name):
-        bad = contamination(rows.withColumn("doc_id", F.col(name).cast("long")), benchmark, slack=0).filter(
-            F.size("hits") > 0).select(F.col("doc_id").alias("_bad")).distinct()
-        return rows.join(bad, rows[name] == bad["_bad"], "left_anti").select(*docs.columns)
-
-    named = clean(docs.filter("doc_id is not null"), "doc_id")
-    nameless = docs.filter("doc_id is null")
-    if nameless.isEmpty():
-        return named
-    return named.unionByName(clean(materialize(nameless.withColumn("_row", F.monotonically_increasing_id()), "nameless"), "_row"))
+    """Documents without any benchmark window.  Rows go one by one, whatever ids they share or lack; all columns stay as
+    they are."""
+    with scratch(spark) as files:
+        rows, _ = numbered(docs, files)
+        found = contamination(
+            rows.select(F.col("key").alias("doc_id"), "row.text"), table(spark, sf_dir, "benchmark"), slack=0)
+        bad = files.keep(found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("bad")), "contaminated")
+    return rows.join(bad, rows["key"] == bad["bad"], "left_anti").select("row.*")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrays import mix
-from .shared import batch, by_batch, table, tidy
+from .shared import batch, by_batch, in_row, table, tidy
 
 BITS = 15
 FEATURES = 1 << BITS
@@ -82,9 +82,8 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def predict(docs: DataFrame, labels: list[str], log_p: np.ndarray) -> DataFrame:
-    """All columns of ``docs`` with ``lang_pred`` and ``score`` added (existing ones replaced)."""
+    """``row`` (all columns of ``docs``), ``lang_pred`` and ``score``."""
     model = docs.sparkSession.sparkContext.broadcast(log_p)
-    kept = docs.drop("lang_pred", "score")
 
     def work(rows):
         texts = rows.column("text").to_pylist()
@@ -102,15 +101,15 @@ def predict(docs: DataFrame, labels: list[str], log_p: np.ndarray) -> DataFrame:
         best = points.argmax(1)
         yield pa.RecordBatch.from_arrays(
             [
-                *rows.columns,
+                rows.column("row"),
                 pa.array([labels[b] if ok else UNKNOWN for b, ok in zip(best, known)], pa.string()),
                 pa.array(np.where(known, chance[np.arange(len(texts)), best], 0.0)),
             ],
-            names=[*rows.schema.names, "lang_pred", "score"],
+            names=["row", "lang_pred", "score"],
         )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return by_batch(kept, work, f"{fields}, lang_pred string, score double")
+    whole = in_row(docs).select("row", "row.text")
+    return by_batch(whole, work, whole.select("row").schema.add("lang_pred", "string").add("score", "double"))
 
 
 def held_out():
@@ -121,11 +120,11 @@ def held_out():
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels, log_p = fit(docs.filter(~held_out()))
-    return predict(docs.select("doc_id", "text"), labels, log_p).select(
+    return predict(docs.select("doc_id", "text"), labels, log_p).select("row.doc_id", "lang_pred", "score").select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def keep_known(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; those without letters go."""
+    """Documents whose text has a language; those without letters go.  All columns stay as they are."""
     labels, log_p = fit(docs.filter(~held_out()))
-    return predict(docs, labels, log_p).filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    return predict(docs, labels, log_p).filter(F.col("lang_pred") != UNKNOWN).select("row.*")

@@ -1,24 +1,31 @@
 """License scans: ordered signature rules over the words of a text.
 
 A rule is a regular expression over lower-case words with one blank between, a keyword without which
-it cannot match, and a priority.  A text without any root keyword is not looked at further; a rule runs
-only if its keyword occurs.  Where detections overlap, a rule of higher priority takes its words first,
+it cannot match, and a priority.  One pass of an automaton finds which keywords a text has; a rule runs
+only if its keyword occurs.  ``signatures`` has the rules written out by hand; ways to name a license, by family and version,
+add to them.  Where detections overlap, a rule of higher priority takes its words first,
 and a detection whose words lie within those of one already kept is dropped.  The three base phrases are
 found at all their places and are never dropped.
 
-Null and empty texts have no words and no labels; extra columns are ignored by the query and kept by
-``scan``; repeated rows are scanned as often as they occur.
+Null and empty texts have no words and no labels; extra columns are ignored by the query and handed on by
+``scan`` in the struct ``row``; repeated rows are scanned as often as they occur.  The work grows with a text's length
+and, for each rule, with its detections, not with their square.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
+import ahocorasick
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from .shared import by_batch, table
+from .shared import by_batch, in_row, table
+from .signatures import SIGNATURES
 
 # fixed values: the base phrases and their labels
 BASE = (
@@ -144,12 +151,6 @@ WRITTEN = (
 CC_TERMS = ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd")
 CC_NAMES = {"by": "attribution", "sa": "sharealike", "nd": "noderivatives", "nc": "noncommercial"}
 
-#: no rule matches a text without any of these
-ROOTS = (b"licen", b"copyright", b"public domain", b"all rights reserved", b"cc", b"creative commons", b"hereby granted",
-         b"redistribution", b"contributors", b"permission to use", b"proprietary", b"may be reproduced", b"spdx",
-         *(f" {name}".encode() for _, name, versions, _ in SHORT if versions))
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -167,6 +168,8 @@ def _rule(label, expression, keyword, score, priority) -> Rule:
 def rules() -> list[Rule]:
     """All rules, highest priority first: those written out, and family by version by phrasing, by long and short name."""
     made = [_rule(*w) for w in WRITTEN]
+    made += [_rule(label, expression, keyword, score, priority)
+             for label, score, priority, pairs in SIGNATURES for keyword, expression in pairs]
     for terms in CC_TERMS:
         label, spelled = "cc-" + terms.replace(" ", "-"), " ".join(CC_NAMES[t] for t in terms.split())
         for version in ("1", "2", "2.5", "3", "4"):
@@ -202,62 +205,91 @@ _TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 _BASE = [(label, f" {phrase} ".encode(), len(phrase.split())) for phrase, label in BASE]
-_RULES: list[Rule] = []
+
+
+@lru_cache(maxsize=1)
+def _gate() -> tuple[list[Rule], ahocorasick.Automaton]:
+    """The rules in order, and an automaton that finds in one pass which keywords a text has."""
+    ordered, found = rules(), ahocorasick.Automaton()
+    by_keyword: dict[str, list[int]] = {}
+    for k, rule in enumerate(ordered):
+        by_keyword.setdefault(rule.keyword.decode("latin-1"), []).append(k)
+    for keyword, numbers in by_keyword.items():
+        found.add_word(keyword, tuple(numbers))
+    found.make_automaton()
+    return ordered, found
 
 
 def detections(text: str | None) -> tuple[int, list[tuple[str, int, int, float, bool]]]:
     """Number of words, and (label, first word, last word, score, base) of what was found."""
-    if not _RULES:
-        _RULES.extend(rules())
+    ordered, gate = _gate()
     words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
     found: list[tuple[str, int, int, float, bool]] = []
     if not words:
         return 0, found
     plain = b" " + b" ".join(words) + b" "
+    blanks = np.flatnonzero(np.frombuffer(plain, np.uint8) == 0x20)
     for label, phrase, n in _BASE:
-        at = plain.find(phrase)
+        places, at = [], plain.find(phrase)
         while at >= 0:
-            first = plain.count(b" ", 0, at)
-            found.append((label, first, first + n - 1, 1.0, True))
+            places.append(at)
             at = plain.find(phrase, at + 1)
-    if any(root in plain for root in ROOTS):
-        kept: list[tuple[int, int]] = []
-        for rule in _RULES:
-            if rule.keyword not in plain:
+        for first in np.searchsorted(blanks, places).tolist():
+            found.append((label, first, first + n - 1, 1.0, True))
+    present = {numbers for _, numbers in gate.iter(plain.decode("latin-1"))}
+    if present:
+        kept = np.zeros((2, 0), np.int64)
+        for rule in (ordered[k] for k in sorted(k for numbers in present for k in numbers)):
+            spans = np.array([m.span() for m in rule.pattern.finditer(plain)], np.int64).reshape(-1, 2).T
+            if not spans.size:
                 continue
-            for m in rule.pattern.finditer(plain):
-                if any(a <= m.start() and m.end() <= b for a, b in kept):
-                    continue
-                kept.append(m.span())
-                first = plain.count(b" ", 0, m.start()) - 1
-                found.append((rule.label, first, first + m[0].count(b" "), rule.score, False))
+            new = spans[:, ~_within(spans, kept)]
+            first, end = np.searchsorted(blanks, new[0]) - 1, np.searchsorted(blanks, new[1])
+            found += [(rule.label, a, b, rule.score, False) for a, b in zip(first.tolist(), (end - 1).tolist())]
+            kept = _outermost(np.concatenate([kept, new], 1))
     return len(words), sorted(found, key=lambda d: (d[1], -d[2], d[0]))
 
 
+def _outermost(spans: np.ndarray) -> np.ndarray:
+    """Spans that lie in no other one, in order: starts and ends both rise."""
+    spans = spans[:, np.lexsort((-spans[1], spans[0]))]
+    reach = np.maximum.accumulate(spans[1])
+    return spans[:, np.concatenate([[True], spans[1, 1:] > reach[:-1]])[: spans.shape[1]]]
+
+
+def _within(spans: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """Which spans lie in one of ``kept`` (outermost ones): the last that starts no later reaches furthest."""
+    at = np.searchsorted(kept[0], spans[0], "right") - 1
+    inside = np.zeros(spans.shape[1], bool)
+    some = np.flatnonzero(at >= 0)
+    inside[some] = kept[1, at[some]] >= spans[1, some]
+    return inside
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns with ``n_words`` and ``detections`` (label, first, last, score, base) added."""
-    kept = docs.drop("n_words", "detections")
+    """``row`` (all columns), ``n_words`` and ``detections`` (label, first, last, score, base)."""
     item = pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64()),
                       ("base", pa.bool_())])
     names = item.names
 
     def work(rows):
-        results = [detections(t) for t in rows.column(text).to_pylist()]
+        results = [detections(t) for t in rows.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [*rows.columns, pa.array([n for n, _ in results], pa.int64()),
+            [rows.column("row"), pa.array([n for n, _ in results], pa.int64()),
              pa.array([[dict(zip(names, d)) for d in found] for _, found in results], pa.list_(item))],
-            names=[*rows.schema.names, "n_words", "detections"])
+            names=["row", "n_words", "detections"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return by_batch(kept, work, f"{fields}, n_words long, "
-                    "detections array<struct<label: string, first: long, last: long, score: double, base: boolean>>")
+    whole = in_row(docs).select("row", F.col(f"row.`{text}`").alias("text"))
+    added = StructType.fromDDL(
+        "n_words long, detections array<struct<label: string, first: long, last: long, score: double, base: boolean>>")
+    return by_batch(whole, work, StructType([*whole.select("row").schema, *added]))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = "filter(detections, d -> d.base)"
     names = "concat_ws(',', array_sort(array_distinct(transform({}, d -> d.label))))"
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).selectExpr(
-        "doc_id", "n_words", f"cast(size({base}) as long) as n_base",
+        "row.doc_id", "n_words", f"cast(size({base}) as long) as n_base",
         f"array_min(transform({base}, d -> d.first)) as first_word",
         f"array_max(transform({base}, d -> d.first)) as last_word",
         names.format(base) + " as base_labels", names.format("detections") + " as labels",

@@ -11,8 +11,9 @@ components, compared block by block: those whose sketches look alike first, then
 the last only pairs that cannot be alike are passed over: a set's parity has one bit for each of
 ``PARITY`` groups of hashes, odd or even, and two sets differ in at least as many hashes as bits.
 
-A set without shingles is linked with nothing.  Null ids are left out of the graph and name themselves.
-Rows that share an id are one node.  Empty tables work; only doc_id and text are looked at.
+A set without shingles is linked with nothing.  Ids mostly name documents; where some are missing or shared, rows
+are numbered in id order (those without an id last) and every row is a document of its own: its component is named by
+the id of the component's first row, and that row alone is kept.  Empty tables work; only doc_id and text are looked at.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..settings import materialize, scratch
 from .arrays import BLANKS, groups, mix, shingles, texts_of, words_of
 from .graph import components
-from .shared import batch, by_batch, stored, table, tidy
+from .shared import batch, by_batch, numbered, stored, table, tidy
 
 WIDTH = 5
 PERCENT = 75
@@ -279,7 +280,14 @@ def _mixed(met: DataFrame, found: DataFrame, leaders: DataFrame, star: bool, ske
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
     with scratch(docs.sparkSession) as files:
-        return files.keep(_near_duplicates(docs), "near-duplicates")
+        rows, shared = numbered(docs.select("doc_id", "text"), files)
+        found = _near_duplicates(rows.select(F.col("key").alias("doc_id"), "row.text"))
+        if shared:
+            ids = rows.select("key", F.col("row.doc_id").alias("id"))
+            named = found.withColumnsRenamed({"doc_id": "key", "component_id": "first"}).join(ids, "key")
+            found = named.join(ids.select(F.col("key").alias("first"), F.col("id").alias("component_id")), "first").select(
+                F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+        return files.keep(found, "near-duplicates")
 
 
 def _near_duplicates(docs: DataFrame) -> DataFrame:
@@ -326,6 +334,12 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates: the one with the smallest id, one with an id before those without.
+
+    Rows go one by one, so a text stays whatever ids other texts share; all columns stay as they are.
+    """
+    with scratch(spark) as files:
+        rows, _ = numbered(docs, files)
+        found = near_duplicates(rows.select(F.col("key").alias("doc_id"), "row.text"))
+        gone = files.keep(found.filter("not kept").select(F.col("doc_id").alias("gone")), "gone")
+    return rows.join(gone, rows["key"] == gone["gone"], "left_anti").select("row.*")

@@ -29,11 +29,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..settings import scratch
 from .arrays import BLANKS, CODES_2, Rolling, first_smallest, groups, mix, texts_of, word_bounds, word_hashes
-from .shared import batch, by_batch, drop_shuffles, stored, table
+from .filters import looked_up, repeated
+from .shared import batch, by_batch, drop_shuffles, in_row, stored, table
 
 WIDTH = 35
 SHORTEST = 8  # lengths are halved while they stay above this
@@ -152,21 +153,6 @@ def _windows(docs: DataFrame, runs: DataFrame, width: int) -> DataFrame:
     return by_batch(_with_places(docs, runs), work, "one long, two long, who long, first long")
 
 
-def _looked_up(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """The rows whose key is listed.  ``keys`` was aggregated by them: it is shuffled anew, by a hash besides, or
-    Spark could not split the rows of a hot key."""
-    listed = keys.select(*[F.col(c).alias(f"_{c}") for c in on])
-    same: Column = F.xxhash64(*[rows[c] for c in on]) == F.xxhash64(*[listed[f"_{c}"] for c in on])
-    for c in on:
-        same = same & (rows[c] == listed[f"_{c}"])
-    return rows.join(listed, same, "left_semi")
-
-
-def _repeated(rows: DataFrame, on: list[str]) -> DataFrame:
-    """The rows whose key occurs in more than one of them."""
-    return _looked_up(rows, rows.groupBy(*on).agg(F.count("*").alias("n")).filter("n > 1"), on)
-
-
 def _spans(docs: DataFrame, width: int) -> DataFrame:
     """who, spans: for documents with repeats, pairs of first word and first word after; they may overlap."""
     lengths = ladder(width)
@@ -175,14 +161,14 @@ def _spans(docs: DataFrame, width: int) -> DataFrame:
         raise ValueError(f"windows of {width} words: 1 to 140 are supported")
     parts, sizes = stored(_anchors(docs, width, gram), "level"), lengths[1:-1] or [gram]
     for size in sizes:
-        parts = stored(_extended(docs, _repeated(parts, ["key"]), width, gram, size), "level")
+        parts = stored(_extended(docs, repeated(parts, ["key"]), width, gram, size), "level")
     # full width: copies of an extent are settled, the others meet window by window where their keys agree
     extents = stored(
         parts.groupBy("key", "extent").agg(F.count("*").alias("n"), F.min(F.struct("who", "place")).alias("run")), "level")
-    settled = _looked_up(parts, extents.filter("n > 1"), ["key", "extent"])
-    mixed = _repeated(extents, ["key"]).select("run.who", "run.place")
+    settled = looked_up(parts, extents.filter("n > 1"), ["key", "extent"])
+    mixed = repeated(extents, ["key"]).select("run.who", "run.place")
     windows = stored(_windows(docs, mixed, width), "level")
-    alone = _repeated(windows, ["one", "two"])
+    alone = repeated(windows, ["one", "two"])
     begin = F.shiftright("place", PLACE)
     found = settled.select(
         "who", begin.alias("first"), (begin + F.col("place").bitwiseAND(F.lit((1 << _HALF) - 1)) + width).alias("end")
@@ -196,7 +182,7 @@ def with_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wi
 
     Rows are known by their ids; if ids are missing or shared, rows are stored once with numbers of their own.
     """
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    whole = in_row(docs)
     name = F.col(f"row.`{id_col}`").cast("long")
     keyed = whole.withColumn("who", name)
     with scratch(docs.sparkSession) as files:
@@ -257,7 +243,7 @@ def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wid
         yield pa.RecordBatch.from_arrays(fields, names=[f.name for f in own.type])
 
     found = with_repeats(docs, text, id_col, width).select("row", "repeats", F.col(f"row.`{text}`").alias("text"))
-    return by_batch(found, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return by_batch(found, work, docs.schema)
 
 
 def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ..settings import materialize
+from ..operators.numbering import global_row_id
+from ..settings import Scratch, materialize
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -56,7 +58,9 @@ def tidy(work: Callable) -> Callable:
     return run
 
 
-def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def by_batch(
+    df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
     """``mapInArrow`` for work that looks at one batch at a time."""
 
     def run(batches):
@@ -76,3 +80,24 @@ def batch(**columns) -> pa.RecordBatch:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def in_row(docs: DataFrame) -> DataFrame:
+    """All columns as the struct ``row``, so that no helper column can clash with one of them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def numbered(docs: DataFrame, files: Scratch, id_col: str = "doc_id") -> tuple[DataFrame, bool]:
+    """``row`` and ``key``, a number that names a row and orders it by its id; and whether ids alone could not.
+
+    If all ids are there and different they are the keys.  Else rows are stored once and numbered, those without an
+    id last, so rows that share an id or have none are documents of their own.
+    """
+    whole, own = in_row(docs), F.col(f"row.`{id_col}`").cast("long")
+    keyed = whole.withColumn("key", own)
+    if keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1 or key is null").isEmpty():
+        return keyed, False
+    rows = files.keep(whole.withColumn("at", F.monotonically_increasing_id()), "rows")
+    order = ["none", "id", "at"]
+    numbers = global_row_id(rows.select(own.isNull().alias("none"), own.alias("id"), "at"), order, "key", tie_break=())
+    return rows.join(files.keep(numbers.select("at", "key"), "numbers"), "at").select("row", "key"), True

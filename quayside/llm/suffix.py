@@ -1,25 +1,30 @@
 """Repeated passages: bucket-pointer refinement over the suffixes of all documents.
 
-A suffix's bucket identifier after the first step is the hash of its first ``GRAM`` bytes; deeper
-buckets are named by the identifiers of the bytes that follow and precede.  Identifiers depend on content alone,
-so buckets of one name in different tasks are one bucket, and sorting on identifiers sorts all suffixes
-of the corpus.  Buckets are refined only as far as needed for strings of ``LENGTH`` bytes:
+A suffix's bucket identifier after the first step is the hash of its first ``GRAM`` bytes.  A suffix is then known more
+exactly by its own identifier and that of the suffix ``STEP`` bytes later: together they name its first ``GRAM + STEP``
+bytes.  With these new identifiers the same is done again, and so on: each refinement uses the identifiers the one before
+has made.  Two refinements name ``LENGTH`` bytes.  Identifiers depend on content alone, so buckets of one name in different
+tasks are one bucket, and no task needs the buckets of another.
 
-1. Every string of LENGTH bytes is stood for by its anchor, the smallest GRAM-byte identifier in it, so
-   about one suffix in twenty-seven enters the sort.  Neighbouring strings with one anchor form a run.
-2. Buckets of one anchor identifier are refined by the identifier of their run's whole extent.  In a
-   refined bucket all but the first run are settled: all their strings start earlier elsewhere.
-3. The first runs of buckets that fell apart go on with their bytes: by the gram and ``STEP`` bytes
-   beyond or before it, one of which each of their strings holds, and there, string by string, by the
-   identifiers of both halves.  All but the first string of such a bucket are repeats.
+Buckets are refined only where it matters:
 
-Repeats within one batch are settled before the shuffle, so a passage that a large part of the corpus
-shares arrives once per batch.  Identifiers have 128 bits where equality decides.
+1. Every string of LENGTH bytes is stood for by its anchor, the smallest GRAM-byte identifier in it, so
+   about one suffix in twenty-seven enters.  Neighbouring strings with one anchor form a run.  Anchors are counted
+   alone first; runs whose anchor occurs once are dropped where they arise, through a filter of fixed size.
+2. Buckets of one anchor are cut by the identifier of their run's whole extent.  In such a bucket all but the first run
+   are settled: all their strings start earlier elsewhere.
+3. The first runs of buckets that fell apart are refined: by the suffix ``STEP`` bytes beyond the anchor or before it, one
+   of which each of their strings holds.  Those that are alone in their bucket then are done.
+4. The rest is refined string by string.  All but the first string of such a bucket are repeats.
+
+The first of a bucket is a minimum in a partial aggregate, joined back with hot keys split, so a passage in a third of
+all documents is in no task a list.  Repeats within one batch are settled before any shuffle.  Identifiers have 128 bits
+where equality decides.
 
 Order is by doc_id (null first), then offset.  Null and short texts keep all bytes.  Rows that repeat an
-id and text count as one document and get the same result; other columns are ignored.  Rows without an id
-are documents of their own, as are rows of one id with different texts: ``tie`` tells them apart and orders
-them.  Empty tables work.
+id and text count as one document and get the same result; other columns are ignored and handed on in the struct ``row``,
+so no name can clash.  Rows without an id are documents of their own, as are rows of one id with different texts:
+``tie`` tells them apart and orders them, at the price of storing all rows once more.  Empty tables work.
 """
 
 from __future__ import annotations
@@ -28,123 +33,128 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..settings import materialize, scratch
-from .arrays import CODES, CODES_2, Rolling, first_smallest, mix, texts_of
-from .shared import batch, by_batch, stored, table, tidy
+from ..settings import scratch
+from .arrays import CODES, CODES_2, Rolling, first_smallest, groups, mix, texts_of
+from .filters import after_first, make_filter, passes, repeated
+from .shared import batch, by_batch, drop_shuffles, in_row, stored, table
 
 LENGTH = 100
 GRAM = 48
 STEP = (LENGTH - GRAM) // 2
 PLACE = 14  # bits for the anchor and the number of starts of a run
 SPAN = 1 << 20  # bytes of text that are hashed at a time
+_HALF = PLACE // 2
 _NULL = -(1 << 63)  # stands for a null doc_id: it sorts first
+_SPANS = "array<struct<first:bigint,end:bigint>>"
+
+
+def _parts_of(place):
+    """First start, anchor and last start of a run."""
+    first, mask = place >> PLACE, (1 << _HALF) - 1
+    return first, first + ((place >> _HALF) & mask), first + (place & mask)
 
 
-def _runs(text: np.ndarray):
-    """Runs of strings with one anchor: anchor identifier, extent identifier, place."""
-    for low in range(0, max(0, len(text) - LENGTH + 1), SPAN):
-        part = text[low : low + SPAN + LENGTH - 1]
-        one = Rolling(part)
-        anchor = first_smallest(one.windows(GRAM), LENGTH - GRAM + 1)
-        begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        end = np.append(begin[1:], len(anchor)) - 1
-        at = anchor[begin]
-        key = one.spans(at, at + GRAM)
-        extent = Rolling(part, CODES_2).spans(begin, end + LENGTH) + mix((at - begin).astype(np.uint64))
-        # first start, anchor after it, and further starts, in one number
-        place = ((begin + low) << PLACE) | ((at - begin) << (PLACE // 2)) | (end - begin)
-        yield key, mix(extent), place
+def _refined(ids: np.ndarray) -> np.ndarray:
+    """Identifiers ``STEP`` bytes longer, from those of each place and of the place ``STEP`` on."""
+    return mix(ids[:-STEP] + mix(ids[STEP:])) if len(ids) > STEP else ids[:0]
 
 
-def _texts(rows):
+def _runs(rows, wanted: np.ndarray | None):
+    """Runs of strings with one anchor: row of the batch, anchor identifier and, of those whose anchor passes the filter
+    ``wanted``, extent identifier and place."""
     data, offsets = texts_of(rows.column("text"))
-    for k, name in enumerate(zip(rows.column("id").to_pylist(), rows.column("tie").to_pylist())):
-        yield k, name, data[offsets[k] : offsets[k + 1]]
+    for i, j in groups(offsets):
+        whole = data[offsets[i] : offsets[j]]
+        begins = offsets[i : j + 1] - offsets[i]
+        for low in range(0, max(0, len(whole) - LENGTH + 1), SPAN):
+            part = whole[low : low + SPAN + LENGTH - 1]
+            if len(part) < LENGTH:
+                continue
+            one = Rolling(part)
+            ids = one.windows(GRAM)
+            anchor = first_smallest(ids, LENGTH - GRAM + 1)
+            # a string must end in the text it begins in
+            text = np.repeat(np.arange(j - i, dtype=np.int32), np.diff(np.clip(begins - low, 0, len(part))))
+            inside = np.flatnonzero(text[: len(anchor)] == text[LENGTH - 1 :])
+            if not len(inside):
+                continue
+            at, own = anchor[inside], text[inside]
+            fresh = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (own[1:] != own[:-1])]))
+            begin, end = inside[fresh], inside[np.append(fresh[1:], len(inside)) - 1]
+            at, own = at[fresh], own[fresh]
+            key = ids[at]
+            if wanted is None:
+                yield own + i, key, None, None
+                continue
+            kept = np.flatnonzero(passes(wanted, key))
+            if not len(kept):
+                continue
+            begin, end, at, own, key = begin[kept], end[kept], at[kept], own[kept], key[kept]
+            extent = mix(Rolling(part, CODES_2).spans(begin, end + LENGTH) + mix((at - begin).astype(np.uint64)))
+            # first start, anchor after it, and further starts, in one number
+            first = begin + low - begins[own]
+            yield own + i, key, extent, (first << PLACE) | ((at - begin) << _HALF) | (end - begin)
 
 
-def _parts_of(place):
-    """First start, anchor and last start of a run."""
-    half = PLACE // 2
-    first = place >> PLACE
-    return first, first + ((place >> half) & ((1 << half) - 1)), first + (place & ((1 << half) - 1))
-
-
-def _batch_runs(rows):
-    """All runs of a batch in order of key, extent, id, tie and place, and which repeat an earlier one."""
-    parts, names = [], []
-    for _, name, text in _texts(rows):
-        for found in _runs(text):
-            parts.append(found)
-            names.append(np.tile(np.array(name, np.int64), (len(found[0]), 1)))
-    if not parts:
-        return None
-    key, extent, place = (np.concatenate([p[c] for p in parts]) for c in range(3))
-    name = np.concatenate(names)
-    order = np.lexsort((place, name[:, 1], name[:, 0], extent, key))
-    key, extent, place, name = key[order], extent[order], place[order], name[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (extent[1:] != extent[:-1])
-    lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    # a row that is there twice is not its own repeat
-    repeat = (name != name[lead]).any(1) | (place != place[lead])
-    return key, extent, place, name, new, repeat
-
-
-def _spans(name, start, end):
-    """Overlapping spans of each id and tie made one: rows id, tie, spans (pairs of 8-byte numbers)."""
-    order = np.lexsort((start, name[:, 1], name[:, 0]))
-    name, start, end = name[order], start[order], end[order]
-    out_name, out = [], []
-    cuts = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]).any(1), [True]])) if len(name) else [0]
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        reach = np.maximum.accumulate(end[a:b])
-        fresh = np.concatenate([[True], start[a + 1 : b] > reach[:-1]])
-        begins = start[a:b][fresh]
-        ends = reach[np.append(np.flatnonzero(fresh)[1:] - 1, b - a - 1)]
-        out_name.append(name[a])
-        out.append(np.stack([begins, ends], 1).astype("<i8").tobytes())
-    who = np.array(out_name, np.int64).reshape(-1, 2)
-    return batch(id=who[:, 0], tie=who[:, 1], spans=pa.array(out, pa.binary()))
-
-
-def _suffixes(docs: DataFrame) -> DataFrame:
-    """Runs that are the first of their bucket within a batch."""
+def _anchors(docs: DataFrame) -> DataFrame:
+    """Anchors of a batch, and whether they occur once or more often in it."""
 
     def work(rows):
-        if (found := _batch_runs(rows)) is not None:
-            key, extent, place, name, new, _ = found
-            yield batch(key=key[new].view(np.int64), extent=extent[new].view(np.int64), id=name[new, 0], tie=name[new, 1],
-                        place=place[new])
+        found = [key for _, key, _, _ in _runs(rows, None)]
+        if found:
+            key, n = np.unique(np.concatenate(found), return_counts=True)
+            yield batch(key=key.view(np.int64), n=np.minimum(n, 2))
+
+    return by_batch(docs.select("text"), work, "key long, n long")
+
+
+def _leading(columns, name, place):
+    """Order of rows by the columns (most significant first), name and place; which begin a bucket, and which follow another
+    row than its first (a row that is there twice is not its own repeat)."""
+    order = np.lexsort((place, name[:, 1], name[:, 0], *columns[::-1]))
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in columns], 0)
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    name, place = name[order], place[order]
+    return order, new, (name != name[lead]).any(1) | (place != place[lead])
 
-    return by_batch(docs, work, "key long, extent long, id long, tie long, place long")
 
+def _names(rows) -> np.ndarray:
+    return np.stack([rows.column(c).to_numpy() for c in ("id", "tie")], 1)
 
-def _settled(docs: DataFrame) -> DataFrame:
-    """Spans of runs that repeat within their batch."""
+
+def _suffixes(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """Runs whose anchor may occur elsewhere: the first of each bucket of a batch, and those that repeat it."""
+    sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def work(rows):
-        if (found := _batch_runs(rows)) is not None:
-            _, _, place, name, _, repeat = found
-            if repeat.any():
-                first, _, last = _parts_of(place[repeat])
-                yield _spans(name[repeat], first, last + LENGTH)
+        found = list(_runs(rows, sent.value))
+        if not found:
+            return
+        own, key, extent, place = (np.concatenate(c) for c in zip(*found))
+        name = _names(rows)[own]
+        order, new, repeat = _leading([key, extent], name, place)
+        some = order[new | repeat]
+        yield batch(key=key[some].view(np.int64), extent=extent[some].view(np.int64), id=name[some, 0], tie=name[some, 1],
+                    place=place[some], repeat=pa.array(repeat[new | repeat]))
 
-    return by_batch(docs, work, "id long, tie long, spans binary")
+    return by_batch(docs, work, "key long, extent long, id long, tie long, place long, repeat boolean")
 
 
 def _halves(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """The bytes of the given runs, in buckets one step deeper: strings that go ``STEP`` bytes beyond
-    the anchor's gram are known by it and those bytes, the others by it and the bytes before it."""
-    wanted = runs.groupBy("id", "tie").agg(F.collect_list("place").alias("places"))
+    the anchor's gram are known by its identifier refined, the others by that of the suffix ``STEP`` bytes before."""
+    wanted = runs.groupBy("id", "tie").agg(F.collect_set("place").alias("places"))
 
     def work(rows):
-        places = rows.column("places")
-        subs, names, starts, counts, data = [], [], [], [], []
-        for k, who, text in _texts(rows):
-            place = np.sort(np.asarray(places[k].values))
-            first, anchor, last = _parts_of(place)
+        places, names = rows.column("places"), _names(rows)
+        data, offsets = texts_of(rows.column("text"))
+        subs, owners, starts, counts, raws = [], [], [], [], []
+        for k in range(rows.num_rows):
+            text = data[offsets[k] : offsets[k + 1]]
+            first, anchor, last = _parts_of(np.sort(np.asarray(places[k].values)))
             for low in range(0, len(text), SPAN):
                 here = np.flatnonzero((first >= low) & (first < low + SPAN))
                 if not len(here):
@@ -158,189 +168,167 @@ def _halves(docs: DataFrame, runs: DataFrame) -> DataFrame:
                     some = np.flatnonzero(s <= e)
                     if not len(some):
                         continue
-                    s, e, at = s[some], e[some], a[some]
-                    gram = hashes.spans(at, at + GRAM + STEP) if beyond else hashes.spans(at - STEP - 1, at + GRAM)
-                    subs.append(mix(gram + np.uint64(beyond)))
-                    names.append(np.tile(np.array(who, np.int64), (len(s), 1)))
+                    s, e, at = s[some], e[some], a[some] - (0 if beyond else STEP)
+                    sub = mix(hashes.spans(at, at + GRAM) + mix(hashes.spans(at + STEP, at + STEP + GRAM)))
+                    subs.append(mix(sub + np.uint64(beyond)))
+                    owners.append(np.full(len(s), k))
                     starts.append(s + low)
                     counts.append(e - s + 1)
-                    data += [raw[x:y] for x, y in zip(s.tolist(), (e + LENGTH).tolist())]
+                    raws += [raw[x:y] for x, y in zip(s.tolist(), (e + LENGTH).tolist())]
         if subs:
-            name = np.concatenate(names)
+            name = names[np.concatenate(owners)]
             yield batch(sub=np.concatenate(subs).view(np.int64), id=name[:, 0], tie=name[:, 1], first=np.concatenate(starts),
-                        count=np.concatenate(counts), data=pa.array(data, pa.binary()))
+                        count=np.concatenate(counts), data=pa.array(raws, pa.binary()))
 
     return by_batch(docs.join(wanted, ["id", "tie"]), work, "sub long, id long, tie long, first long, count long, data binary")
 
 
-def _repeated_strings(halves: DataFrame) -> DataFrame:
-    """Spans of strings that occur before in their bucket.
-
-    Buckets come in order of id and place, so a string is a repeat if it was seen; of a bucket that goes
-    on in the next batch, only the identifiers of its strings are kept.
-    """
+def _strings(halves: DataFrame) -> DataFrame:
+    """Every string of the given halves by 128 bits of identifier, refined twice: the first of each bucket of a batch, and
+    those that repeat it."""
 
-    def work(batches):
-        open_sub, seen = None, np.zeros((2, 0), np.uint64)
-        for rows in batches:
-            sub, name, tie, first, count = (rows.column(c).to_numpy() for c in ("sub", "id", "tie", "first", "count"))
-            name = np.stack([name, tie], 1)
-            raw = rows.column("data").to_pylist()
-            ends = np.cumsum([len(x) for x in raw])
-            begin = ends - np.array([len(x) for x in raw])
-            data = np.frombuffer(b"".join(raw), np.uint8)
-            row = np.repeat(np.arange(len(sub)), count)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            at, half = begin[row] + step, LENGTH // 2
-            both = []
-            for codes in (CODES, CODES_2):
-                hashes = Rolling(data, codes)
-                both.append(mix(hashes.spans(at, at + half) + mix(hashes.spans(at + half, at + LENGTH))))
-            one, two = both
-            order = np.lexsort((np.arange(len(row)), two, one, sub[row]))
-            same = np.zeros(len(order), bool)
-            left, right = order[:-1], order[1:]
-            same[1:] = (sub[row[left]] == sub[row[right]]) & (one[left] == one[right]) & (two[left] == two[right])
-            repeat = np.zeros(len(row), bool)
-            repeat[order] = same
-            if open_sub is not None and sub[0] == open_sub:
-                here = np.flatnonzero(sub[row] == open_sub)
-                near = np.minimum(np.searchsorted(seen[0], one[here]), seen.shape[1] - 1)
-                repeat[here] |= (seen[0][near] == one[here]) & (seen[1][near] == two[here])
-            else:
-                seen = np.zeros((2, 0), np.uint64)
-            if repeat.any():
-                start = first[row[repeat]] + step[repeat]
-                yield _spans(name[row[repeat]], start, start + LENGTH)
-            open_sub = sub[-1]
-            here = np.flatnonzero((sub[row] == open_sub) & ~repeat)
-            if sub[0] != open_sub:
-                seen = np.zeros((2, 0), np.uint64)
-            seen = np.concatenate([seen, np.stack([one[here], two[here]])], 1)
-            seen = seen[:, np.argsort(seen[0], kind="stable")]
-
-    return halves.repartition("sub").sortWithinPartitions("sub", "id", "tie", "first").mapInArrow(
-        tidy(work), "id long, tie long, spans binary")
+    def work(rows):
+        first, count = (rows.column(c).to_numpy() for c in ("first", "count"))
+        raw = rows.column("data").to_pylist()
+        for i in range(0, len(raw), 1 << 13):
+            some, many = raw[i : i + (1 << 13)], count[i : i + (1 << 13)]
+            sizes = np.array([len(x) for x in some])
+            data = np.frombuffer(b"".join(some), np.uint8)
+            row = np.repeat(np.arange(len(some)), many)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            at = (np.cumsum(sizes) - sizes)[row] + step
+            one, two = (_refined(_refined(Rolling(data, codes).windows(GRAM)))[at] for codes in (CODES, CODES_2))
+            name, start = _names(rows)[i + row], first[i + row] + step
+            order, new, repeat = _leading([one, two], name, start)
+            kept = order[new | repeat]
+            yield batch(one=one[kept].view(np.int64), two=two[kept].view(np.int64), id=name[kept, 0], tie=name[kept, 1],
+                        first=start[kept], repeat=pa.array(repeat[new | repeat]))
+
+    return by_batch(halves, work, "one long, two long, id long, tie long, first long, repeat boolean")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """id, tie, lists of spans and places of runs of its text that start earlier elsewhere; all may overlap."""
-    with scratch(docs.sparkSession) as files:
-        return files.keep(_repeats(docs), "repeats")
-
-
-def _repeats(docs: DataFrame) -> DataFrame:
-    order = F.struct("id", "tie", "place")
-    bucket = Window.partitionBy("key", "extent").orderBy("id", "tie", "place")
-    anchor = Window.partitionBy("key")
-    decided = stored(
-        _suffixes(docs)
-        .withColumn("repeat", F.first(order).over(bucket) != order)
-        .withColumn("mixed", F.min("extent").over(anchor) != F.max("extent").over(anchor))
-        .filter("repeat or mixed").select("id", "tie", "place", "repeat"),
-        "runs")
-    strings = _repeated_strings(_halves(docs, decided.filter("not repeat").select("id", "tie", "place").distinct()))
-    lists = _settled(docs).unionByName(strings).groupBy("id", "tie").agg(F.collect_list("spans").alias("lists"))
-    places = decided.filter("repeat").groupBy("id", "tie").agg(F.collect_list("place").alias("places"))
-    return lists.join(places, ["id", "tie"], "full")
-
-
-def _told_apart(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    """All columns, and ``id`` and ``tie``, which name a document and order it among all.
+    """id, tie, spans: parts of a text's bytes whose strings start earlier elsewhere; they may overlap."""
+    anchors = stored(
+        _anchors(docs).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key"), "anchors")
+    runs = stored(_suffixes(docs, make_filter(anchors, anchors.count())), "runs")
+    firsts = runs.filter("not repeat").drop("repeat")
+    buckets = stored(
+        firsts.groupBy("key", "extent").agg(F.min(F.struct("id", "tie", "place")).alias("first")), "buckets")
+    mixed = repeated(buckets, ["key"]).select("first.*")
+    halves = stored(_halves(docs, mixed), "halves")
+    strings = stored(_strings(repeated(halves, ["sub"])), "strings")
+    place = ["id", "tie", "place"]
+    settled = runs.filter("repeat").select(place).unionByName(after_first(firsts, ["key", "extent"], place).select(place))
+    alone = ["id", "tie", "first"]
+    found = strings.filter("repeat").select(alone).unionByName(
+        after_first(strings.filter("not repeat").drop("repeat"), ["one", "two"], alone).select(alone))
+    begin, more = F.shiftright("place", PLACE), F.col("place").bitwiseAND(F.lit((1 << _HALF) - 1))
+    return settled.select("id", "tie", begin.alias("first"), (begin + more + LENGTH).alias("end")).unionByName(
+        found.withColumn("end", F.col("first") + LENGTH)
+    ).groupBy("id", "tie").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"))
+
+
+def _told_apart(whole: DataFrame, text: str, id_col: str, files) -> DataFrame:
+    """``row``, and ``id`` and ``tie``, which name a document and order it among all.
 
     Mostly an id says all.  If there are rows without an id, or ids with several texts, rows are stored
     once with a number: those without an id are told apart by it, the others by their text.
     """
-    keyed = docs.withColumn("id", F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)))
-    texts = F.xxhash64(text)
-    unclear = keyed.groupBy("id").agg(F.count("*").alias("_n"), F.min(texts).alias("_low"), F.max(texts).alias("_high"))
-    if unclear.filter((F.col("_low") != F.col("_high")) | ((F.col("id") == _NULL) & (F.col("_n") > 1))).isEmpty():
+    own = F.col(f"row.`{id_col}`").cast("long")
+    keyed = whole.withColumn("id", F.coalesce(own, F.lit(_NULL)))
+    texts = F.xxhash64(F.col(f"row.`{text}`"))
+    unclear = keyed.groupBy("id").agg(F.count("*").alias("n"), F.min(texts).alias("low"), F.max(texts).alias("high"))
+    if unclear.filter((F.col("low") != F.col("high")) | ((F.col("id") == _NULL) & (F.col("n") > 1))).isEmpty():
         return keyed.withColumn("tie", F.lit(0).cast("long"))
-    stored_rows = materialize(keyed.withColumn("tie", F.monotonically_increasing_id()), "rows")
-    return stored_rows.withColumn("tie", F.when(F.col(id_col).cast("long").isNull(), F.col("tie") + F.lit(_NULL))
-                                  .otherwise(texts.bitwiseAND(F.lit((1 << 63) - 1))))
+    rows = files.keep(keyed.withColumn("tie", F.monotonically_increasing_id()), "rows")
+    return rows.withColumn("tie", F.when(own.isNull(), F.col("tie") + F.lit(_NULL)).otherwise(
+        texts.bitwiseAND(F.lit((1 << 63) - 1))))
 
 
 def with_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """All columns, and what repeats in the text's bytes as ``lists`` and ``places``, null if nothing does."""
-    keyed = _told_apart(docs, text, id_col)
-    found = repeats(keyed.select("id", "tie", F.col(text).alias("text")))
-    return keyed.join(found, ["id", "tie"], "left")
-
-
-def _merged(lists, places) -> np.ndarray:
-    """Spans to remove, apart and in order."""
-    parts = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in lists or ()]
-    if places:
-        first, _, last = _parts_of(np.array(places, np.int64))
-        parts.append(np.stack([first, last + LENGTH], 1))
-    if not parts:
-        return np.zeros((0, 2), np.int64)
-    spans = np.concatenate(parts)
-    spans = spans[np.argsort(spans[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(spans[:, 1])
-    fresh = np.concatenate([[True], spans[1:, 0] > reach[:-1]])
-    ends = reach[np.append(np.flatnonzero(fresh)[1:] - 1, len(spans) - 1)]
-    return np.stack([spans[fresh, 0], ends], 1)
-
-
-def _kept(text: bytes, spans: np.ndarray) -> bytes:
-    out, at = [], 0
+    """``row`` (all columns of ``docs``) and ``spans`` of the text's bytes that repeat, sorted; none, an empty list, if
+    nothing does."""
+    spark = docs.sparkSession
+    with scratch(spark) as files:
+        keyed = _told_apart(in_row(docs), text, id_col, files)
+        found = files.keep(repeats(keyed.select("id", "tie", F.col(f"row.`{text}`").alias("text"))), "repeats")
+    drop_shuffles(spark)
+    return keyed.join(found, ["id", "tie"], "left").select("row", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
+
+
+def _texts_and_spans(rows):
+    """For each text of a batch its bytes and the spans to remove, apart and in order."""
+    data, offsets = texts_of(rows.column("text"))
+    lists = rows.column("spans")
+    reach = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    flat = lists.flatten()
+    first, end = flat.field("first").to_numpy(), flat.field("end").to_numpy()
+    for k in range(rows.num_rows):
+        a, b = reach[k], reach[k + 1]
+        text = data[offsets[k] : offsets[k + 1]]
+        if a == b:
+            yield text, np.zeros((0, 2), np.int64)
+            continue
+        far = np.maximum.accumulate(end[a:b])
+        fresh = np.concatenate([[True], first[a + 1 : b] > far[:-1]])
+        yield text, np.stack([first[a:b][fresh], far[np.append(np.flatnonzero(fresh)[1:] - 1, b - a - 1)]], 1)
+
+
+def _kept(text: np.ndarray, spans: np.ndarray) -> bytes:
+    raw, out, at = text.tobytes(), [], 0
     for a, b in spans.tolist():
-        out.append(text[at:a])
+        out.append(raw[at:a])
         at = b
-    out.append(text[at:])
+    out.append(raw[at:])
     return b"".join(out)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     def work(rows):
-        names, sizes, removed, n_spans, digests = rows.column("doc_id"), [], [], [], []
-        for text, lists, places in zip(*(rows.column(c).to_pylist() for c in ("text", "lists", "places"))):
-            data = (text or "").encode("utf-8", "surrogatepass")
-            spans = _merged(lists, places)
-            sizes.append(len(data))
+        sizes, removed, n_spans, digests = [], [], [], []
+        for text, spans in _texts_and_spans(rows):
+            sizes.append(len(text))
             removed.append(int((spans[:, 1] - spans[:, 0]).sum()))
             n_spans.append(len(spans))
-            digests.append(hashlib.sha256(_kept(data, spans)).hexdigest())
-        yield batch(doc_id=names, n_bytes=pa.array(sizes, pa.int64()), n_removed=pa.array(removed, pa.int64()),
+            digests.append(hashlib.sha256(_kept(text, spans)).hexdigest())
+        yield batch(doc_id=rows.column("doc_id"), n_bytes=pa.array(sizes, pa.int64()), n_removed=pa.array(removed, pa.int64()),
                     n_spans=pa.array(n_spans, pa.int64()), kept_sha256=pa.array(digests, pa.string()))
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return by_batch(with_spans(docs).select("doc_id", "text", "lists", "places"), work,
+    return by_batch(with_spans(docs).select("row.doc_id", "row.text", "spans"), work,
                     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what repeats; a character goes only if all its bytes do.  n_chars follows the text.
 
-    A document of which nothing is left goes, unless it was empty before.
+    A document of which nothing is left goes, unless it was empty before.  All other columns stay as they are.
     """
-    names = docs.columns
 
     def work(rows):
         texts, keep = [], []
-        for text, lists, places in zip(*(rows.column(c).to_pylist() for c in ("text", "lists", "places"))):
-            spans = _merged(lists, places)
-            if text is None or not len(spans):
-                texts.append(text)
+        none = rows.column("text").is_null().to_pylist()
+        for (data, spans), null in zip(_texts_and_spans(rows), none):
+            if null or not len(spans):
+                texts.append(None if null else data.tobytes().decode("utf-8", "surrogatepass"))
                 keep.append(True)
                 continue
-            data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
             gone = np.zeros(len(data), bool)
             for a, b in spans.tolist():
                 gone[a:b] = True
-            head = (data & 0xC0) != 0x80
-            whole = np.bitwise_and.reduceat(gone, np.flatnonzero(head))
-            left = data[~np.repeat(whole, np.diff(np.append(np.flatnonzero(head), len(data))))].tobytes()
+            head = np.flatnonzero((data & 0xC0) != 0x80)
+            whole = np.bitwise_and.reduceat(gone, head)
+            left = data[~np.repeat(whole, np.diff(np.append(head, len(data))))].tobytes()
             texts.append(left.decode("utf-8", "surrogatepass"))
             keep.append(bool(left))
-        columns = {c: rows.column(c) for c in names} | {"text": pa.array(texts, pa.string())}
+        own = rows.column("row")
+        columns = {f.name: own.field(k) for k, f in enumerate(own.type)}
+        columns["text"] = pa.array(texts, pa.string())
         if "n_chars" in columns:
             columns["n_chars"] = pa.array(
                 [None if old is None else len(t) if t is not None else old
-                 for t, old in zip(texts, rows.column("n_chars").to_pylist())], rows.column("n_chars").type)
+                 for t, old in zip(texts, columns["n_chars"].to_pylist())], columns["n_chars"].type)
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(pa.array(keep))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return by_batch(with_spans(docs).select(*names, "lists", "places"), work, fields)
+    return by_batch(with_spans(docs).select("row", "row.text", "spans"), work, docs.schema)

@@ -3,7 +3,8 @@
 A text is cut before each space that follows a visible character: there the library's own pattern
 always starts a new piece, so the ids of the parts are the ids of the text.  Parts seen before come
 from a fixed-size table (96 bits of two independent hashes must agree); all new parts of a group are
-encoded in one call and told apart by the byte lengths of their tokens.
+encoded in one call and told apart by the byte lengths of their tokens.  As the library has it, a special string in a
+text is its special id; such a string has no blank, so no cut goes through it.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # in a text their strings are ordinary text
         size = self.tokenizer.get_vocab_size()
         # one character of a byte-level token stands for one byte
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
