@@ -66,11 +66,12 @@ def next_day_key(key: Column) -> Column:
     return F.date_format(F.date_add(F.try_to_date(key, "yyyyMMdd"), 1), "yyyyMMdd")
 
 
-def today_key(zone: str = "Asia/Bangkok") -> Column:
-    """The current day in ``zone`` as ``yyyyMMdd``."""
-    return F.date_format(
-        F.convert_timezone(None, F.lit(zone), F.localtimestamp()), "yyyyMMdd"
-    )
+def today_key(zone: str = "Asia/Bangkok", at: Column | None = None) -> Column:
+    """The day in ``zone`` as ``yyyyMMdd``: the current one, or that of a moment (UTC, without a zone)."""
+    local = (
+        F.convert_timezone(None, F.lit(zone), F.localtimestamp()) if at is None
+        else F.convert_timezone(F.lit("UTC"), F.lit(zone), at.cast("timestamp_ntz")))
+    return F.date_format(local, "yyyyMMdd")
 
 
 def epoch(local: Column, zone: str = "Asia/Ho_Chi_Minh", millis: bool = True) -> Column:

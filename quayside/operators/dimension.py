@@ -10,9 +10,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .joins import without_keys_of
+from ..settings import materialize
+from .joins import existence_join, without_keys_of
 from .numbering import surrogate_keys
 from .projection import distinct_rows, keys_not_null
 
@@ -126,3 +127,60 @@ def apply_type2(
         VALID_TO: F.lit(OPEN_END).cast("date"),
     })
     return history.unionByName(active).unionByName(opened, allowMissingColumns=True)
+
+
+def apply_backdated(
+    dim: DataFrame, late: DataFrame, keys: Sequence[str], id_col: str, attributes: Sequence[str], date_col: str,
+) -> DataFrame:
+    """Work facts that arrive late into the timelines of their keys (type 2).
+
+    A late row says what a key's attributes were from ``date_col`` on, up to the next change known.  The version that holds
+    this day is cut there: it is shortened, and the rest of it gets the late attributes and an id of its own.  On the first
+    day of a version the late row takes its place and keeps its id.  Before the first version, or where there was none, it
+    opens one up to the next.  Neighbours that come out equal (NULL equals NULL) become one version with the id of the
+    first.  So no key gets gaps it did not have, and none gets overlaps; a version is active if it is open.
+
+    Rows without key or date take no part; late rows that disagree on a day are an error.  Only the timelines of
+    keys that have late rows are shuffled; a timeline has a version a day at most.  Columns besides keys and attributes
+    stay with their version and are NULL in versions a late row opens.
+    """
+    fed = keys_not_null(late, [*keys, date_col]).select(
+        *keys, F.col(date_col).cast("date").alias(VALID_FROM), *attributes).distinct()
+    twice = fed.groupBy(*keys, VALID_FROM).count().filter("count > 1").select(*keys, VALID_FROM).first()
+    if twice:
+        raise ValueError(f"late rows of one key and day disagree: {twice.asDict()}")
+    pairs = [(k, k) for k in keys]
+    known = existence_join(dim, fed.select(*keys).distinct(), pairs, once=True)
+    fixed = {id_col, *keys, STATUS, VALID_FROM, VALID_TO}
+    held = F.struct(*[c for c in dim.columns if c not in fixed])  # NULL: the key has no version from here on
+    empty = F.lit(None).cast(dim.select(held.alias("h")).schema["h"].dataType)
+    no_id = F.lit(None).cast(dim.schema[id_col].dataType)
+    new = F.struct(*[
+        F.col(f.name) if f.name in attributes else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in dim.select(held.alias("h")).schema["h"].dataType.fields])
+    events = (
+        known.select(*keys, VALID_FROM, F.lit(1).alias("_rank"), F.col(id_col).alias("_id"), held.alias("_held"))
+        .unionByName(known.filter(F.col(VALID_TO) < F.lit(OPEN_END).cast("date")).select(
+            *keys, F.col(VALID_TO).alias(VALID_FROM), F.lit(0).alias("_rank"), no_id.alias("_id"), empty.alias("_held")))
+        .unionByName(fed.select(*keys, VALID_FROM, F.lit(2).alias("_rank"), no_id.alias("_id"), new.alias("_held")))
+    )
+    # of what happens on one day the late row counts, then a version's start, then another's end
+    days = events.groupBy(*keys, VALID_FROM).agg(
+        F.max("_id").alias("_id"), F.max_by(F.struct("_held"), "_rank").alias("_now"))
+    order = Window.partitionBy(*keys).orderBy(VALID_FROM)
+    before = F.lag("_now").over(order)
+    here, there = (F.struct(*[F.col(f"{side}._held.{a}") for a in attributes]) for side in ("_now", "_was"))
+    gone = lambda side: F.col(f"{side}._held").isNull()
+    starts = F.col("_was").isNull() | (gone("_now") != gone("_was")) | (~gone("_now") & ~here.eqNullSafe(there))
+    pieces = (
+        days.withColumn("_was", before).filter(starts)
+        .withColumn(VALID_TO, F.coalesce(F.lead(VALID_FROM).over(order), F.lit(OPEN_END).cast("date")))
+        .filter(~gone("_now"))
+        .withColumn(STATUS, F.when(F.col(VALID_TO) == F.lit(OPEN_END).cast("date"), F.lit(ACTIVE)).otherwise(F.lit(CLOSED)))
+    )
+    pieces = materialize(pieces.select("_id", *keys, VALID_FROM, VALID_TO, STATUS, "_now._held.*"), "timelines")
+    old = pieces.filter("_id is not null").withColumnRenamed("_id", id_col)
+    added = surrogate_keys(pieces.filter("_id is null").drop("_id"), dim, id_col, [*keys, VALID_FROM], tie_break=())
+    rest = without_keys_of(dim, fed, pairs)
+    columns = dim.columns
+    return rest.select(*columns).unionByName(old.select(*columns)).unionByName(added.select(*columns))

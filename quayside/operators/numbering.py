@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..settings import materialize, scratch
+from .joins import without_keys_of
+from .projection import keys_not_null
 
 # monotonically_increasing_id() puts the partition above bit 33 and counts rows below it
 _PARTITION_SHIFT = 33
@@ -71,3 +73,18 @@ def surrogate_keys(
     """Number new dimension rows on from the highest id in use."""
     highest = dim.agg(F.max(id_col)).first()[0] or 0
     return global_row_id(new_rows, order_by, id_col, tie_break, start_after=int(highest))
+
+
+def register_keys(
+    registry: DataFrame, rows: DataFrame, keys: Sequence[str], id_col: str
+) -> DataFrame:
+    """The registry of natural keys and their ids, with numbers for the keys it does not know yet.
+
+    Ids are never given twice or anew: a dimension rebuilt from nothing and joined to its registry gets the ids it
+    had, also for keys that were gone for a while.  New keys go on from the highest id in key order.  Rows with a NULL in
+    the key have no id.  ``registry`` has the columns ``keys`` and ``id_col`` and holds a key once.
+    """
+    pairs = [(k, k) for k in keys]
+    asked = keys_not_null(rows, keys).select(*keys).distinct()
+    added = surrogate_keys(without_keys_of(asked, registry, pairs), registry, id_col, keys, tie_break=())
+    return registry.select(*keys, id_col).unionByName(added.select(*keys, id_col))

@@ -13,7 +13,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import conform_date
-from ..functions.dates import NO_DATE
+from ..functions.dates import NO_DATE, NO_DATE_TEXT, SLICE_FORMAT
+from ..settings import materialize
 
 
 def project(df: DataFrame, columns: Sequence[str] | T.StructType) -> DataFrame:
@@ -59,23 +60,43 @@ def trim_all_strings(df: DataFrame) -> DataFrame:
     ])
 
 
+def _typed(df: DataFrame, field: T.StructField) -> tuple[Column, Column]:
+    """A column trimmed and cast to its contract's type, and whether its text could not be read."""
+    is_text = isinstance(df.schema[field.name].dataType, T.StringType)
+    value = F.trim(F.col(field.name)) if is_text else F.col(field.name)
+    if not isinstance(field.dataType, T.DateType):
+        typed = value.try_cast(field.dataType)
+        return typed, value.isNotNull() & typed.isNull()
+    if is_text:
+        return conform_date(value), value.isNotNull() & (value != NO_DATE_TEXT) & F.try_to_date(value, SLICE_FORMAT).isNull()
+    return F.coalesce(value.cast("date"), F.lit(NO_DATE).cast("date")), F.lit(False)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Untyped text to a typed contract: trim, cast, sentinel dates and column order in one
     projection.  What cannot be cast becomes NULL, a date that cannot be read 1900-12-31."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-
-    def typed(field: T.StructField) -> Column:
-        is_text = isinstance(have[field.name], T.StringType)
-        value = F.trim(F.col(field.name)) if is_text else F.col(field.name)
-        if not isinstance(field.dataType, T.DateType):
-            value = value.try_cast(field.dataType)
-        elif is_text:
-            value = conform_date(value)
-        else:
-            value = F.coalesce(value.cast("date"), F.lit(NO_DATE).cast("date"))
-        return value.alias(field.name)
-
-    return df.select(*[typed(f) for f in schema.fields])
+    return df.select(*[_typed(df, f)[0].alias(f.name) for f in schema.fields])
+
+
+def conform_rejects(df: DataFrame, schema: T.StructType, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows that conform without a failed cast, and for each failed cast of the others its row, column and raw text.
+
+    One pass casts and keeps what failed; it is stored, and both parts are read from there.  A row is in exactly
+    one part, so the typed rows and the rows named in the rejects add up to the input.  ``keys`` are the input's columns
+    that name a row; rejects carry them as they came, with ``reject_row`` to tell rows of one key apart, and
+    ``reject_column`` and ``reject_text``.  Missing values and the source's "no date" are no failures.
+    """
+    typed = {f.name: _typed(df, f) for f in schema.fields}
+    failed = F.filter(F.array(*[
+        F.when(bad, F.struct(F.lit(name).alias("reject_column"), F.col(name).cast("string").alias("reject_text")))
+        for name, (_, bad) in typed.items()]), lambda x: x.isNotNull())
+    wide = materialize(df.select(
+        F.struct(*keys).alias("_keys"), F.monotonically_increasing_id().alias("reject_row"), failed.alias("_failed"),
+        F.struct(*[value.alias(name) for name, (value, _) in typed.items()]).alias("_row")), "conformed")
+    rows = wide.filter(F.size("_failed") == 0).select("_row.*")
+    rejects = wide.select("_keys.*", "reject_row", F.explode("_failed").alias("_f")).select(
+        *keys, "reject_row", "_f.reject_column", "_f.reject_text")
+    return rows, rejects
 
 
 def keys_not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .compare import DIFFERS, copy_counts
 
@@ -29,3 +29,47 @@ def changed_slices(
     return per_slice.filter(
         (F.col("_source") > 0) & ((F.col("_stored") == 0) | F.col("_differs"))
     ).select(slice_col)
+
+
+# ---- digests: what a slice holds, in three numbers ------------------------------------------------
+
+DIGEST = ["n_rows", "sum_one", "sum_two"]
+
+
+def _hashed(df: DataFrame, columns: list[str], seed: int) -> Column:
+    """64 bits of hash of a row.  A NULL leaves Spark's hash as it was, so each column says whether it is one;
+    0.0 and -0.0 are equal values and get one hash."""
+    parts = []
+    for c in columns:
+        value = F.col(f"`{c}`")
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0.0).cast(df.schema[c].dataType)
+        parts += [value, value.isNull()]
+    return F.xxhash64(F.lit(seed), *parts)
+
+
+def slice_digests(rows: DataFrame, slice_col: str) -> DataFrame:
+    """One row per slice (NULL is one): its number of rows and the sums of two 64-bit hashes of them.
+
+    Sums do not depend on the order of rows and count copies, so equal digests mean equal bags of rows but for a
+    chance of 2**-64 and less.  One aggregate, folded before it is shuffled: a hot slice is one row a task.
+    """
+    columns = sorted(c for c in rows.columns if c != slice_col)
+    total = lambda seed: F.sum(_hashed(rows, columns, seed).cast("decimal(20,0)"))
+    return rows.groupBy(slice_col).agg(
+        F.count("*").alias("n_rows"), total(1).alias("sum_one"), total(2).alias("sum_two"))
+
+
+def latest_digests(log: DataFrame, slice_col: str) -> DataFrame:
+    """The last digest logged for each slice."""
+    last = F.max_by(F.struct(*DIGEST), "version")
+    return log.groupBy(slice_col).agg(last.alias("_last")).select(slice_col, "_last.*")
+
+
+def changed_digests(stored: DataFrame, source: DataFrame, slice_col: str) -> DataFrame:
+    """The source's digests that differ from what is stored, or are of slices not stored yet."""
+    was = stored.select(F.col(slice_col).alias("_slice"), *[F.col(c).alias(f"_{c}") for c in DIGEST])
+    same = source[slice_col].eqNullSafe(was["_slice"])
+    for c in DIGEST:
+        same = same & source[c].eqNullSafe(was[f"_{c}"])
+    return source.join(was, same, "left_anti")

@@ -17,7 +17,7 @@ from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..settings import cut_lineage
+from ..settings import cut_lineage, materialize
 
 MAIN = "main"
 
@@ -84,9 +84,10 @@ def visible_commits(commits: DataFrame, heads: DataFrame) -> DataFrame:
         commits.select("snapshot_id", "slice", "operation", "content_id"), "snapshot_id"
     )
     overwritten = F.when(F.col("operation") == "overwrite", F.col("depth"))
-    base = chain.groupBy("head", "slice").agg(F.min(overwritten).alias("_base"))
+    base = chain.groupBy(F.col("head").alias("_head"), F.col("slice").alias("_slice")).agg(F.min(overwritten).alias("_base"))
+    own = (chain["head"] == base["_head"]) & chain["slice"].eqNullSafe(base["_slice"])  # NULL is a slice
     return (
-        chain.join(base, ["head", "slice"])
+        chain.join(base, own)
         .filter(F.col("_base").isNull() | (F.col("depth") <= F.col("_base")))
         .select("head", "slice", "content_id")
     )
@@ -94,8 +95,35 @@ def visible_commits(commits: DataFrame, heads: DataFrame) -> DataFrame:
 
 def read_version(history: DataFrame, commits: DataFrame, head: DataFrame) -> DataFrame:
     """The table as the commit in the one-row frame ``head`` shows it."""
-    shown = visible_commits(commits, head).select("slice", "content_id")
-    return history.join(shown, ["slice", "content_id"]).select(*history.columns)
+    shown = visible_commits(commits, head).select(F.col("slice").alias("_slice"), F.col("content_id").alias("_content"))
+    same = (history["content_id"] == shown["_content"]) & history["slice"].eqNullSafe(shown["_slice"])
+    return history.join(shown, same).select(*[history[c] for c in history.columns])
+
+
+def content_changes(commits: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """(slice, content_id, change): contents only one of two commits shows, -1 for the first and 1 for the second
+    (or how often more or less it shows them).  Both are one-row frames ``head``; neither need build on the other."""
+    role = lambda head, n: head.select(F.col("head").cast("bigint").alias("head"), F.lit(n).alias("_role"))
+    roles = role(before, -1).unionByName(role(after, 1))
+    shown = visible_commits(commits, roles.select("head").distinct()).join(roles, "head")
+    return shown.groupBy("slice", "content_id").agg(F.sum("_role").alias("change")).filter("change <> 0")
+
+
+def snapshot_changes(history: DataFrame, commits: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows that one of two commits shows and the other does not: their columns without ``content_id``, with ``side``
+    (``added`` | ``removed``) and ``copies``.
+
+    The contents both show are ruled out from the commit log, so their rows are never read: the list of the others is
+    stored first, and a history laid out by ``content_id`` is read in those folders alone.  A row that was rewritten
+    unchanged is no change.
+    """
+    changed = materialize(content_changes(commits, before, after), "changed-content").filter("change <> 0")
+    listed = changed.select(F.col("slice").alias("_slice"), F.col("content_id").alias("_content"), "change")
+    same = (history["content_id"] == listed["_content"]) & history["slice"].eqNullSafe(listed["_slice"])
+    columns = [c for c in history.columns if c != "content_id"]
+    net = history.join(listed, same).groupBy(*columns).agg(F.sum("change").alias("_net")).filter("_net <> 0")
+    return net.select(
+        *columns, F.when(F.col("_net") > 0, "added").otherwise("removed").alias("side"), F.abs("_net").alias("copies"))
 
 
 def snapshot_history(commits: DataFrame, refs: DataFrame, branch: str = MAIN) -> DataFrame:

@@ -180,8 +180,13 @@ def report_rows(t: YardTables, buckets: Buckets | None = None) -> DataFrame:
 
 
 def yard_moves_enriched(t: YardTables, day: int, buckets: Buckets | None = None) -> DataFrame:
-    """The report of one load day, 37 columns, numbered by ITEM_KEY."""
-    numbered = global_row_id(report_rows(t, buckets), ["ITEM_KEY"], "ROW_ID")
+    """The report of one load day, 37 columns, numbered by ITEM_KEY.
+
+    Rows of one item are told apart by the other columns (a move's ITEM_NO among them), so the report is written once.
+    """
+    rows = report_rows(t, buckets)
+    others = [c for c in rows.columns if c != "ITEM_KEY"]
+    numbered = global_row_id(rows, ["ITEM_KEY"], "ROW_ID", tie_break=others)
     return project(stamp(numbered, ETL_DATE=day), REPORT)
 
 
@@ -213,3 +218,17 @@ def yard_throughput(transport: DataFrame, day: int) -> DataFrame:
     """Containers per combination of the report's dimensions."""
     totals = transport.groupBy(*THROUGHPUT_BY).agg(F.count("*").alias("TOTALCONT"))
     return stamp(totals, ETL_DATE=day)
+
+
+def throughput_delta(totals: DataFrame, before: YardTables, after: YardTables, day: int) -> DataFrame:
+    """Kept totals brought up to a new state of some slices, without counting the others again.
+
+    ``before`` and ``after`` hold the moves of the changed slices as they were and as they are (other tables as
+    they are for both: a change there touches every slice).  Rows as they were are taken from the totals, rows as they are
+    added; combinations that come to nothing go.
+    """
+    was, now = (report_rows(t).groupBy(*THROUGHPUT_BY).agg(F.count("*").alias("_n")) for t in (before, after))
+    signed = totals.select(*THROUGHPUT_BY, F.col("TOTALCONT").alias("_n")).unionByName(now).unionByName(
+        was.withColumn("_n", -F.col("_n")))
+    summed = signed.groupBy(*THROUGHPUT_BY).agg(F.sum("_n").alias("TOTALCONT")).filter("TOTALCONT <> 0")
+    return stamp(summed, ETL_DATE=day)

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..settings import materialize
+
 # Text formats that keep every digit; Spark's own drop microseconds on the way out and back.
 LOSSLESS_TEXT = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -109,3 +111,36 @@ def incremental_slice(df: DataFrame, check_columns: Sequence[str], day: str) ->
     for c in check_columns:
         wanted = wanted | ((F.col(c) >= start) & (F.col(c) < F.date_add(start, 1)))
     return df.filter(wanted)
+
+
+FILE = "path string, size long, modified timestamp"
+
+
+def new_files(spark: SparkSession, path: str, ledger: DataFrame, pattern: str = "*.parquet") -> DataFrame:
+    """Files under ``path`` that the ledger does not have as they are now: (path, size, modified).
+
+    Only the listing is looked at.  A file that was replaced under its old name is a new one.
+    """
+    listed = (
+        spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter=pattern).load(path)
+        .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    )
+    taken = ledger.select(*[F.col(c).alias(f"_{c}") for c in ("path", "size", "modified")])
+    return listed.join(taken, [listed[c] == taken[f"_{c}"] for c in listed.columns], "left_anti")
+
+
+def read_new_files(
+    spark: SparkSession, path: str, ledger: DataFrame, schema: T.StructType, fmt: str = "parquet", **options
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files not taken yet, and the ledger with those files added.
+
+    Late files of an old day are read once, without looking at any row of the others.  The ledger is to be stored after
+    the rows were: a load that fails in between takes its files again.  The names of the new files come to the driver, as
+    a read has to name them.
+    """
+    found = materialize(new_files(spark, path, ledger, f"*.{fmt}"), "new-files")
+    paths = [r["path"] for r in found.select("path").collect()]
+    after = ledger.select(*found.columns).unionByName(found)
+    if not paths:
+        return spark.createDataFrame([], schema), after
+    return spark.read.format(fmt).options(basePath=path, **options).schema(schema).load(paths), after

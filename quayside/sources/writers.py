@@ -6,10 +6,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..operators.slices import changed_slices
-from ..settings import materialize
+from ..operators.slices import changed_digests, changed_slices, latest_digests, slice_digests
+from ..settings import materialize, scratch
 from .readers import LOSSLESS_TEXT, JdbcSource, read_or_empty
 
 
@@ -46,15 +46,27 @@ def replace_slices(df: DataFrame, path: str, slice_col: str) -> None:
     _by_slice(df, slice_col).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+#: fixed values: what Spark writes as %XX in the names of partition folders, and its name for NULL and ''
+_ESCAPED = {chr(c) for c in range(1, 0x20)} | set("\"#%'*/:=?\\{[]^\x7f")
+_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def slice_folder(spark: SparkSession, slice_col: str, value) -> str:
+    """The name Spark's partition writer gives the folder of a slice."""
+    escaped = lambda text: "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+    text = None if value is None else spark.range(1).select(F.lit(value).cast("string")).first()[0]
+    return f"{escaped(slice_col)}={escaped(text) if text else _DEFAULT_PARTITION}"
+
+
 def replace_slice(df: DataFrame, path: str, slice_col: str, value) -> None:
-    """Make ``df`` the one slice ``value``; no rows empty it.  Running it again changes nothing.
+    """Make ``df`` the one slice ``value`` (NULL is one); no rows empty it.  Running it again changes nothing.
 
     Rows are written as they are dealt, without a shuffle; a row of another slice is an error.
     """
     own = F.when(F.col(slice_col).eqNullSafe(F.lit(value)), F.lit(True)).otherwise(
         F.raise_error(F.lit(f"a row belongs to another slice than {value}")).cast("boolean"))
     rows = df.filter(own).drop(slice_col) if slice_col in df.columns else df
-    rows.write.mode("overwrite").parquet(f"{path}/{slice_col}={value}")
+    rows.write.mode("overwrite").parquet(f"{path}/{slice_folder(df.sparkSession, slice_col, value)}")
 
 
 def land_slices(
@@ -69,20 +81,67 @@ def land_slices(
     One comparison covers one day or a whole back-fill; with nothing changed nothing is written.
     Only ``days`` (default: those the source has rows for) are read on either side.
     """
-    if days is not None:
-        listed = [F.col(slice_col).eqNullSafe(F.lit(day)) for day in days]
-        source = source.filter(reduce(or_, listed, F.lit(False)))
-    # read once: what is compared is what is stored, even if the source changes meanwhile
-    source = materialize(source, "due-slices")
-    due = source.select(F.col(slice_col).alias("_due")).distinct()
-    stored = read_or_empty(source.sparkSession, path, source.schema)
-    stored = stored.join(due, stored[slice_col].eqNullSafe(due["_due"]), "left_semi")
-    # settled before writing starts: the write must not re-read the slices it is replacing
-    changed = materialize(changed_slices(stored, source, slice_col, mode), "changed-slices")
-    if not changed.isEmpty():
-        changed = changed.withColumnRenamed(slice_col, "_changed")
-        rows = source.join(changed, source[slice_col].eqNullSafe(changed["_changed"]), "left_semi")
-        replace_slices(rows, path, slice_col)
+    with scratch(source.sparkSession):
+        # read once: what is compared is what is stored, even if the source changes meanwhile
+        source = materialize(_of_days(source, slice_col, days), "due-slices")
+        due = source.select(F.col(slice_col).alias("_due")).distinct()
+        stored = read_or_empty(source.sparkSession, path, source.schema)
+        stored = stored.join(due, stored[slice_col].eqNullSafe(due["_due"]), "left_semi")
+        # settled before writing starts: the write must not re-read the slices it is replacing
+        changed = materialize(changed_slices(stored, source, slice_col, mode), "changed-slices")
+        if not changed.isEmpty():
+            replace_slices(_in_slices(source, changed, slice_col), path, slice_col)
+
+
+def _of_days(source: DataFrame, slice_col: str, days: Sequence | None) -> DataFrame:
+    if days is None:
+        return source
+    return source.filter(reduce(or_, [F.col(slice_col).eqNullSafe(F.lit(day)) for day in days], F.lit(False)))
+
+
+def _in_slices(rows: DataFrame, slices: DataFrame, slice_col: str) -> DataFrame:
+    named = slices.select(F.col(slice_col).alias("_named"))
+    return rows.join(named, rows[slice_col].eqNullSafe(named["_named"]), "left_semi")
+
+
+def _digest_log(spark: SparkSession, digest_path: str, rows: DataFrame, slice_col: str) -> DataFrame:
+    kind = rows.schema[slice_col].dataType
+    fields = [T.StructField(slice_col, kind), T.StructField("n_rows", T.LongType()),
+              *[T.StructField(c, T.DecimalType(30, 0)) for c in ("sum_one", "sum_two")], T.StructField("version", T.LongType())]
+    return read_or_empty(spark, digest_path, T.StructType(fields))
+
+
+def _log_digests(log: DataFrame, digests: DataFrame, digest_path: str) -> None:
+    version = (log.agg(F.max("version")).first()[0] or 0) + 1
+    digests.withColumn("version", F.lit(version).cast("bigint")).coalesce(1).write.mode("append").parquet(digest_path)
+
+
+def land_slices_by_digest(
+    source: DataFrame, path: str, digest_path: str, slice_col: str, days: Sequence | None = None
+) -> None:
+    """As ``land_slices`` with ``copies``, but no stored row is read: the source's slices are compared with digests kept
+    beside the table, three numbers a slice.
+
+    Changed slices are written first and their digests logged after, so a load that fails in between writes
+    those slices again.  A slice without a digest counts as changed; ``adopt_slices`` gives digests to a table that was
+    written by other means, which must not be mixed with this one afterwards.
+    """
+    with scratch(source.sparkSession):
+        source = materialize(_of_days(source, slice_col, days), "due-slices")
+        log = _digest_log(source.sparkSession, digest_path, source, slice_col)
+        changed = materialize(
+            changed_digests(latest_digests(log, slice_col), slice_digests(source, slice_col), slice_col), "changed-slices")
+        if not changed.isEmpty():
+            replace_slices(_in_slices(source, changed, slice_col), path, slice_col)
+            _log_digests(log, changed, digest_path)
+
+
+def adopt_slices(stored: DataFrame, digest_path: str, slice_col: str) -> None:
+    """Log digests of what is stored already: one pass over the table, once."""
+    with scratch(stored.sparkSession):
+        digests = materialize(slice_digests(stored, slice_col), "digests")
+        if not digests.isEmpty():
+            _log_digests(_digest_log(stored.sparkSession, digest_path, stored, slice_col), digests, digest_path)
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -167,13 +226,17 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, slice_col:
     spark.catalog.refreshTable(table)
 
 
-def partition_stats(rows: DataFrame, slice_col: str) -> DataFrame:
-    """Rows and files per slice of a file-based table."""
-    per_file = rows.groupBy(slice_col, F.col("_metadata.file_path").alias("_file")).agg(
-        F.count("*").alias("_rows")
+def file_stats(rows: DataFrame, slice_col: str) -> DataFrame:
+    """Slice, path, rows and bytes of each file that holds rows of a file-based table."""
+    return rows.groupBy(slice_col, F.col("_metadata.file_path").alias("file_path")).agg(
+        F.count("*").alias("record_count"), F.max("_metadata.file_size").alias("bytes")
     )
-    return per_file.groupBy(slice_col).agg(
-        F.sum("_rows").alias("record_count"), F.count("*").alias("file_count")
+
+
+def partition_stats(rows: DataFrame, slice_col: str) -> DataFrame:
+    """Rows, files and bytes per slice of a file-based table."""
+    return file_stats(rows, slice_col).groupBy(slice_col).agg(
+        F.sum("record_count").alias("record_count"), F.count("*").alias("file_count"), F.sum("bytes").alias("bytes")
     )
 
 
@@ -185,9 +248,46 @@ def top_partitions(rows: DataFrame, slice_col: str, n: int) -> DataFrame:
 def compact_partitions(spark: SparkSession, path: str, slice_col: str, max_files: int = 1) -> None:
     """Rewrite the slices that are spread over more than ``max_files`` files."""
     rows = spark.read.parquet(path)
-    scattered = materialize(
-        partition_stats(rows, slice_col).filter(F.col("file_count") > max_files).select(slice_col),
-        "scattered-slices",
-    )
-    if not scattered.isEmpty():
-        replace_slices(rows.join(scattered, slice_col, "left_semi"), path, slice_col)
+    with scratch(spark):
+        scattered = materialize(
+            partition_stats(rows, slice_col).filter(F.col("file_count") > max_files).select(slice_col),
+            "scattered-slices",
+        )
+        if not scattered.isEmpty():
+            replace_slices(_in_slices(rows, scattered, slice_col), path, slice_col)
+
+
+def file_bins(files: DataFrame, slice_col: str, target_bytes: int) -> DataFrame:
+    """The files of slices worth compacting (two or more files under half the target), each with the ``bin`` its rows go to.
+
+    A file of half the target or more keeps a bin to itself.  Small files follow one another, and a bin is full when the
+    files before have reached the next multiple of the target: each but the last of a slice holds between half and
+    three halves of it, so only that one is small afterwards.
+    """
+    small = F.col("bytes") * 2 < target_bytes
+    in_order = Window.partitionBy(slice_col).orderBy("file_path")
+    before = F.sum(F.when(small, F.col("bytes")).otherwise(0)).over(in_order) - F.when(small, F.col("bytes")).otherwise(0)
+    n_small = F.sum(small.cast("int")).over(Window.partitionBy(slice_col))
+    shared = F.concat(F.lit("small-"), F.floor(before / target_bytes).cast("string"))
+    return files.withColumn("_n", n_small).withColumn("bin", F.when(small, shared).otherwise(F.col("file_path"))).filter(
+        "_n > 1").drop("_n")
+
+
+def compact_by_size(spark: SparkSession, path: str, slice_col: str, target_bytes: int = 256 << 20) -> None:
+    """Merge small files of a slice up to ``target_bytes``; slices with one small file at most are left alone, so a second
+    run writes nothing, however large the slices are.
+
+    Files are packed into bins by their bytes and the rows of a bin go to one task, a slice's folder being replaced as a
+    whole.  What is stored in between is one row per file.
+    """
+    rows = spark.read.parquet(path)
+    with scratch(spark):
+        bins = materialize(file_bins(file_stats(rows, slice_col), slice_col, target_bytes), "file-bins")
+        if bins.isEmpty():
+            return
+        listed = bins.select(F.col("file_path").alias("_file"), "bin")
+        names = rows.columns
+        packed = rows.withColumn("_path", F.col("_metadata.file_path")).join(listed, F.col("_path") == F.col("_file"))
+        n = bins.select(slice_col, "bin").distinct().count()
+        (packed.repartition(n, slice_col, "bin").select(*names).write.partitionBy(slice_col)
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
