@@ -125,8 +125,38 @@ def _names(rows) -> np.ndarray:
     return np.stack([rows.column(c).to_numpy() for c in ("id", "tie")], 1)
 
 
+def _merged(name: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Overlapping spans of each id and tie made one: ids, ties, and a list of spans each."""
+    order = np.lexsort((start, name[:, 1], name[:, 0]))
+    name, start, end = name[order], start[order], end[order]
+    own = np.ones(len(name), bool)  # where another document begins
+    own[1:] = (name[1:] != name[:-1]).any(1)
+    # ends of earlier documents must not reach into later ones: rank documents above all places
+    lift = (np.cumsum(own) - 1) * (int(end.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(end + lift)
+    fresh = np.ones(len(name), bool)
+    fresh[1:] = own[1:] | (start[1:] + lift[1:] > reach[:-1])
+    at = np.flatnonzero(fresh)
+    last = np.append(at[1:], len(name)) - 1
+    spans = pa.StructArray.from_arrays([pa.array(start[at]), pa.array((reach - lift)[last])], names=["first", "end"])
+    bounds = np.append(np.searchsorted(at, np.flatnonzero(own)), len(at)).astype(np.int32)
+    return name[own, 0], name[own, 1], pa.ListArray.from_arrays(pa.array(bounds), spans)
+
+
+def _firsts_and_spans(columns: dict, name, order, new, repeat, start, end):
+    """What a batch sends on: the first row of each bucket, and the spans of those that repeat it."""
+    kept = order[new]
+    none = pa.nulls(len(kept), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
+    yield batch(**{c: v[kept].view(np.int64) for c, v in columns.items()}, id=name[kept, 0], tie=name[kept, 1], spans=none)
+    some = order[repeat]
+    if len(some):
+        ids, ties, spans = _merged(name[some], start[some], end[some])
+        empty = pa.nulls(len(ids), pa.int64())
+        yield batch(**{c: empty for c in columns}, id=ids, tie=ties, spans=spans)
+
+
 def _suffixes(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Runs whose anchor may occur elsewhere: the first of each bucket of a batch, and those that repeat it."""
+    """Runs whose anchor may occur elsewhere: the first of each bucket of a batch; of those that repeat it their spans."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def work(rows):
@@ -135,12 +165,11 @@ def _suffixes(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             return
         own, key, extent, place = (np.concatenate(c) for c in zip(*found))
         name = _names(rows)[own]
-        order, new, repeat = _leading([key, extent], name, place)
-        some = order[new | repeat]
-        yield batch(key=key[some].view(np.int64), extent=extent[some].view(np.int64), id=name[some, 0], tie=name[some, 1],
-                    place=place[some], repeat=pa.array(repeat[new | repeat]))
+        first, _, last = _parts_of(place)
+        yield from _firsts_and_spans(
+            {"key": key, "extent": extent, "place": place}, name, *_leading([key, extent], name, place), first, last + LENGTH)
 
-    return by_batch(docs, work, "key long, extent long, id long, tie long, place long, repeat boolean")
+    return by_batch(docs, work, f"key long, extent long, place long, id long, tie long, spans {_SPANS}")
 
 
 def _halves(docs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -184,8 +213,8 @@ def _halves(docs: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def _strings(halves: DataFrame) -> DataFrame:
-    """Every string of the given halves by 128 bits of identifier, refined twice: the first of each bucket of a batch, and
-    those that repeat it."""
+    """Every string of the given halves by 128 bits of identifier, refined twice: the first of each bucket of a batch; of
+    those that repeat it their spans."""
 
     def work(rows):
         first, count = (rows.column(c).to_numpy() for c in ("first", "count"))
@@ -199,12 +228,10 @@ def _strings(halves: DataFrame) -> DataFrame:
             at = (np.cumsum(sizes) - sizes)[row] + step
             one, two = (_refined(_refined(Rolling(data, codes).windows(GRAM)))[at] for codes in (CODES, CODES_2))
             name, start = _names(rows)[i + row], first[i + row] + step
-            order, new, repeat = _leading([one, two], name, start)
-            kept = order[new | repeat]
-            yield batch(one=one[kept].view(np.int64), two=two[kept].view(np.int64), id=name[kept, 0], tie=name[kept, 1],
-                        first=start[kept], repeat=pa.array(repeat[new | repeat]))
+            yield from _firsts_and_spans(
+                {"one": one, "two": two, "first": start}, name, *_leading([one, two], name, start), start, start + LENGTH)
 
-    return by_batch(halves, work, "one long, two long, id long, tie long, first long, repeat boolean")
+    return by_batch(halves, work, f"one long, two long, first long, id long, tie long, spans {_SPANS}")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -212,21 +239,20 @@ def repeats(docs: DataFrame) -> DataFrame:
     anchors = stored(
         _anchors(docs).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key"), "anchors")
     runs = stored(_suffixes(docs, make_filter(anchors, anchors.count())), "runs")
-    firsts = runs.filter("not repeat").drop("repeat")
+    firsts = runs.filter("spans is null").drop("spans")
     buckets = stored(
         firsts.groupBy("key", "extent").agg(F.min(F.struct("id", "tie", "place")).alias("first")), "buckets")
     mixed = repeated(buckets, ["key"]).select("first.*")
     halves = stored(_halves(docs, mixed), "halves")
     strings = stored(_strings(repeated(halves, ["sub"])), "strings")
-    place = ["id", "tie", "place"]
-    settled = runs.filter("repeat").select(place).unionByName(after_first(firsts, ["key", "extent"], place).select(place))
-    alone = ["id", "tie", "first"]
-    found = strings.filter("repeat").select(alone).unionByName(
-        after_first(strings.filter("not repeat").drop("repeat"), ["one", "two"], alone).select(alone))
     begin, more = F.shiftright("place", PLACE), F.col("place").bitwiseAND(F.lit((1 << _HALF) - 1))
-    return settled.select("id", "tie", begin.alias("first"), (begin + more + LENGTH).alias("end")).unionByName(
-        found.withColumn("end", F.col("first") + LENGTH)
-    ).groupBy("id", "tie").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"))
+    settled = after_first(firsts, ["key", "extent"], ["id", "tie", "place"]).select(
+        "id", "tie", F.array(F.struct(begin.alias("first"), (begin + more + LENGTH).alias("end"))).alias("spans"))
+    alone = after_first(strings.filter("spans is null").drop("spans"), ["one", "two"], ["id", "tie", "first"]).select(
+        "id", "tie", F.array(F.struct("first", (F.col("first") + LENGTH).alias("end"))).alias("spans"))
+    within = [x.filter("spans is not null").select("id", "tie", "spans") for x in (runs, strings)]
+    found = settled.unionByName(alone).unionByName(within[0]).unionByName(within[1])
+    return found.groupBy("id", "tie").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def _told_apart(whole: DataFrame, text: str, id_col: str, files) -> DataFrame:
