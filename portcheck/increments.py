@@ -190,7 +190,7 @@ def _(v):
     path, rows = new_path(v.spark, "stats"), v.source_slices
     for part in ("value < 10", "value >= 10"):
         rows.filter(part).repartition(4, "slice").write.partitionBy("slice").mode("append").parquet(path)
-    stats = w.partition_stats(v.spark.read.schema(rows.schema).parquet(path), "slice")
+    stats = w.partition_sizes(v.spark.read.schema(rows.schema).parquet(path), "slice")
     nothing = v.spark.createDataFrame([], r.FILE)
     listed = r.new_files(v.spark, path, nothing).groupBy(
         F.regexp_extract("path", "slice=([^/]*)", 1).cast("date").alias("slice")).agg(F.sum("size").alias("_listed"))

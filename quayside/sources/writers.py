@@ -234,6 +234,13 @@ def file_stats(rows: DataFrame, slice_col: str) -> DataFrame:
 
 
 def partition_stats(rows: DataFrame, slice_col: str) -> DataFrame:
+    """Rows and files per slice of a file-based table."""
+    return file_stats(rows, slice_col).groupBy(slice_col).agg(
+        F.sum("record_count").alias("record_count"), F.count("*").alias("file_count")
+    )
+
+
+def partition_sizes(rows: DataFrame, slice_col: str) -> DataFrame:
     """Rows, files and bytes per slice of a file-based table."""
     return file_stats(rows, slice_col).groupBy(slice_col).agg(
         F.sum("record_count").alias("record_count"), F.count("*").alias("file_count"), F.sum("bytes").alias("bytes")
