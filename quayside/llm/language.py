@@ -2,8 +2,10 @@
 
 Counts of all labelled training documents are summed by Spark per language and feature; the matrix of
 log probabilities (languages times ``FEATURES``) goes to all tasks, where whole batches are scored at
-once.  Only the text is looked at.  A text is ``und`` with score 0 if it is null, has no letter, or
-nothing was learned; labels that are null teach nothing; ties go to the first label in order.
+once.  All languages have the same prior: how many documents teach one says nothing about the next text.  Rows that are
+there twice teach twice.  Only the text is looked at.  A text is ``und`` with score 0 if it is null, has no letter, or
+nothing was learned (as from an empty table, which gives no rows itself); labels that are null teach nothing; ties go to
+the first label in order.
 """
 
 from __future__ import annotations
