@@ -240,18 +240,24 @@ def repeats(docs: DataFrame) -> DataFrame:
         _anchors(docs).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key"), "anchors")
     runs = stored(_suffixes(docs, make_filter(anchors, anchors.count())), "runs")
     firsts = runs.filter("spans is null").drop("spans")
-    buckets = stored(
-        firsts.groupBy("key", "extent").agg(F.min(F.struct("id", "tie", "place")).alias("first")), "buckets")
-    mixed = repeated(buckets, ["key"]).select("first.*")
-    halves = stored(_halves(docs, mixed), "halves")
-    strings = stored(_strings(repeated(halves, ["sub"])), "strings")
+    spark = docs.sparkSession
+    # each level goes from disk as soon as the next one is stored
+    with scratch(spark) as strings_level:
+        with scratch(spark) as halves_level:
+            buckets = stored(
+                firsts.groupBy("key", "extent").agg(F.min(F.struct("id", "tie", "place")).alias("first")), "buckets")
+            halves = stored(_halves(docs, repeated(buckets, ["key"]).select("first.*")), "halves")
+            strings = halves_level.keep(_strings(repeated(halves, ["sub"])), "strings")
+        drop_shuffles(spark)
+        later = after_first(strings.filter("spans is null").drop("spans"), ["one", "two"], ["id", "tie", "first"])
+        alone = strings_level.keep(
+            later.select("id", "tie", F.array(F.struct("first", (F.col("first") + LENGTH).alias("end"))).alias("spans"))
+            .unionByName(strings.filter("spans is not null").select("id", "tie", "spans")), "alone")
+    drop_shuffles(spark)
     begin, more = F.shiftright("place", PLACE), F.col("place").bitwiseAND(F.lit((1 << _HALF) - 1))
     settled = after_first(firsts, ["key", "extent"], ["id", "tie", "place"]).select(
         "id", "tie", F.array(F.struct(begin.alias("first"), (begin + more + LENGTH).alias("end"))).alias("spans"))
-    alone = after_first(strings.filter("spans is null").drop("spans"), ["one", "two"], ["id", "tie", "first"]).select(
-        "id", "tie", F.array(F.struct("first", (F.col("first") + LENGTH).alias("end"))).alias("spans"))
-    within = [x.filter("spans is not null").select("id", "tie", "spans") for x in (runs, strings)]
-    found = settled.unionByName(alone).unionByName(within[0]).unionByName(within[1])
+    found = settled.unionByName(alone).unionByName(runs.filter("spans is not null").select("id", "tie", "spans"))
     return found.groupBy("id", "tie").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
