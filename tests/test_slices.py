@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators.compare import copy_counts, diff_rows, except_distinct, is_changed
-from quayside.operators.slices import slice_filter
+from quayside.operators.slices import changed_slices, slice_filter
 from quayside.settings import new_path
 from quayside.sources import writers as w
 from .conftest import bag
@@ -37,6 +37,30 @@ def test_except_equals_subtract(make):
     assert bag(except_distinct(a, b)) == bag(a.subtract(b))
 
 
+def test_slices_are_compared_without_shuffling_their_rows(make):
+    schema = "a string, b string, x double, day date"
+    stored = make([
+        ("p", None, 0.0, D1), ("q", "r", 1.0, D1), ("p", None, 1.0, D2), ("s", "t", 2.0, D2), ("s", "t", 2.0, D2),
+        ("u", "v", 3.0, D3), ("only", "stored", 0.0, date(2023, 10, 9)), (None, None, float("nan"), None)], schema)
+    source = make([
+        ("q", "r", 1.0, D1), ("p", None, -0.0, D1),  # the same in another order
+        (None, "p", 1.0, D2), ("s", "t", 2.0, D2), ("s", "t", 2.0, D2),  # a value in another column
+        ("u", "v", 3.0, D3), ("u", "v", 3.0, D3),  # one more copy
+        ("new", "new", 0.0, date(2023, 10, 8)), (None, None, float("nan"), None)], schema)
+    changed = changed_slices(stored, source, "day", "copies")
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(day#" in plan and "HashAggregate(keys=[day#" in plan
+    assert bag(changed) == sorted([(D2,), (D3,), (date(2023, 10, 8),)], key=repr)
+    assert bag(changed_slices(source, stored.filter("day IS NULL OR a = 'q'"), "day", "copies")) == [(D1,)]
+
+
+@pytest.mark.parametrize("mode", ["copies", "symmetric"])
+def test_nested_rows_are_compared_as_rows(make, mode):
+    schema = "x array<double>, day date"
+    stored, source = make([([0.0], D1), ([1.0], D2)], schema), make([([-0.0], D1), ([2.0], D2)], schema)
+    assert bag(changed_slices(stored, source, "day", mode)) == [(D2,)]
+
+
 def test_land_writes_changed_slices_only(spark, make, path):
     w.land_slices(make([(1, D1), (2, D2)], SCHEMA), path, "day")
     before = {day: files(path, day) for day in (D1, D2)}
