@@ -133,8 +133,11 @@ class Encoder:
             # what was known is read as it was, before new parts were stored: their slots were in use
         hit = np.flatnonzero(known)
         if len(hit):
-            fill = np.arange(WIDTH) < counts[hit][:, None]
-            out[(before[hit][:, None] + np.arange(WIDTH))[fill]] = self.ids[slot[hit]][fill]
+            many = counts[hit]
+            earlier = np.cumsum(many) - many
+            step = np.arange(many.sum())
+            kept = self.ids.reshape(-1)[np.repeat(slot[hit] * WIDTH - earlier, many) + step]
+            out[np.repeat(before[hit] - earlier, many) + step] = kept
         return out, np.append(before, total)[np.searchsorted(starts, offsets)]
 
     def column(self, column):

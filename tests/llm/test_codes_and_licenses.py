@@ -33,6 +33,18 @@ def test_one_two_and_three_levels():
         binary.Codes(b"none at all")
 
 
+def test_a_run_is_read_without_looking_up_its_places(monkeypatch):
+    rng = np.random.default_rng(5)
+    ids = (rng.integers(0, 1 << 30, 5000) >> rng.integers(0, 30, 5000)).astype(np.uint32)
+    codes = binary.Codes(binary.encode(ids))
+    spans = [(0, 0), (0, 1), (511, 513), (4999, 5000), (5000, 5000), *np.sort(rng.integers(0, 5001, (300, 2)), 1).tolist()]
+    looked_up = [codes.take(np.arange(a, b)) for a, b in spans]
+    monkeypatch.setattr(binary.Codes, "take", None)
+    for (a, b), want in zip(spans, looked_up, strict=True):
+        assert (codes.run(a, b) == ids[a:b]).all() and (want == ids[a:b]).all() and len(want) == b - a
+    assert len(binary.Codes(binary.encode(ids[:0])).run(0, 0)) == 0
+
+
 def plain_detections(text):
     """The law as it is stated: highest priority first, what lies within words already taken is dropped."""
     words = text.encode().translate(licenses._TABLE).split()
