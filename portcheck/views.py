@@ -99,7 +99,7 @@ class Views:
 
         def raw(c: str) -> Column:
             if c in DATE_COLUMNS:
-                landed = slice_key(F.col(c))
+                landed = F.col("_days")[DATE_COLUMNS.index(c)]
             else:
                 landed = F.when(F.col("Z") == "2", text("  ", F.col(c), " ")).otherwise(F.col(c))
             if c == "COMPLETE_TS":
@@ -109,7 +109,8 @@ class Views:
                 )
             return landed.alias(c)
 
-        landed = self._moves_of(self.table("lineitem"))
+        days = F.transform(F.array(*DATE_COLUMNS), slice_key).alias("_days")
+        landed = self._moves_of(self.table("lineitem")).select("*", days)
         return landed.select(*[raw(c) for c in untyped(MOVES).names])
 
     @cached_property

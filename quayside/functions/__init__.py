@@ -8,6 +8,7 @@ from .dates import (
     key_to_date,
     next_day_key,
     parse_date,
+    slice_date,
     slice_key,
     today_key,
 )
@@ -17,5 +18,5 @@ from .text import null_to_blank, remove_symbols, replace_pairs, sanitize
 __all__ = [
     "conform_date", "date_to_day_of_year_key", "date_to_key", "either", "epoch", "first_match",
     "is_reefer", "key_to_date", "next_day_key", "null_to_blank", "parse_date", "presence_flag",
-    "remove_symbols", "replace_pairs", "sanitize", "slice_key", "today_key",
+    "remove_symbols", "replace_pairs", "sanitize", "slice_date", "slice_key", "today_key",
 ]

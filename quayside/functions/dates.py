@@ -25,15 +25,37 @@ DAY_FORMATS = (
 )
 
 
+_MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()
+_DAYS, _YEARS = [f"{d:02d}" for d in range(1, 32)], [f"{y:02d}" for y in range(100)]
+#: ``-AUG-`` -> ``-08-``
+_MONTH_PARTS = {f"-{name}-": f"-{i:02d}-" for i, name in enumerate(_MONTHS, 1)}
+
+
 def slice_key(day: Column) -> Column:
-    """A day the way the source spells it: ``31-AUG-23``."""
-    return F.upper(F.date_format(day, SLICE_FORMAT))
+    """A day the way the source spells it: ``31-AUG-23``.
+
+    Put together from listed parts, which costs a fraction of a formatter's time.
+    """
+    year = F.abs(F.year(day)) % 100
+    listed = (_DAYS, F.dayofmonth(day) - 1), (_MONTH_PARTS, F.month(day) - 1), (_YEARS, year)
+    return F.concat(*[F.get(F.array(*map(F.lit, texts)), nth) for texts, nth in listed])
+
+
+def slice_date(text: Column) -> Column:
+    """``31-AUG-23`` -> 2023-08-31, as ``try_to_date`` with the source's format has it: NULL for any other text.
+
+    The text is turned into an ISO date and cast, which costs a fraction of a formatter's time.
+    """
+    months = F.create_map(*[F.lit(part) for pair in _MONTH_PARTS.items() for part in pair])
+    month = F.try_element_at(months, F.upper(F.substring(text, 3, 5)))
+    iso = F.concat(F.lit("20"), F.substring(text, 8, 2), month, F.substring(text, 1, 2))
+    return F.when(text.rlike(r"^[0-9]{2}-.{3}-[0-9]{2}\z"), iso.try_cast("date"))
 
 
 def conform_date(text: Column) -> Column:
     """Source text to a date that is never NULL: missing, ``31-DEC-00`` and malformed text
     all become 1900-12-31."""
-    dated = F.when(text != NO_DATE_TEXT, F.try_to_date(text, SLICE_FORMAT))
+    dated = F.when(text != NO_DATE_TEXT, slice_date(text))
     return F.coalesce(dated, F.lit(NO_DATE).cast("date"))
 
 

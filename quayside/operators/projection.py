@@ -12,8 +12,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import conform_date
-from ..functions.dates import NO_DATE, NO_DATE_TEXT, SLICE_FORMAT
+from ..functions import conform_date, slice_date
+from ..functions.dates import NO_DATE, NO_DATE_TEXT
 from ..settings import materialize
 
 
@@ -68,14 +68,26 @@ def _typed(df: DataFrame, field: T.StructField) -> tuple[Column, Column]:
         typed = value.try_cast(field.dataType)
         return typed, value.isNotNull() & typed.isNull()
     if is_text:
-        return conform_date(value), value.isNotNull() & (value != NO_DATE_TEXT) & F.try_to_date(value, SLICE_FORMAT).isNull()
+        return conform_date(value), value.isNotNull() & (value != NO_DATE_TEXT) & slice_date(value).isNull()
     return F.coalesce(value.cast("date"), F.lit(NO_DATE).cast("date")), F.lit(False)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Untyped text to a typed contract: trim, cast, sentinel dates and column order in one
-    projection.  What cannot be cast becomes NULL, a date that cannot be read 1900-12-31."""
-    return df.select(*[_typed(df, f)[0].alias(f.name) for f in schema.fields])
+    """Untyped text to a typed contract: trim, cast, sentinel dates and column order without a
+    shuffle.  What cannot be cast becomes NULL, a date that cannot be read 1900-12-31.
+
+    Date texts are read as one array.  Written out for each column, in one method with all other columns, their
+    code passes the size up to which the JVM compiles a method, and is interpreted.
+    """
+    dates = [f.name for f in schema.fields
+             if isinstance(f.dataType, T.DateType) and isinstance(df.schema[f.name].dataType, T.StringType)]
+    typed = {f.name: _typed(df, f)[0] for f in schema.fields if f.name not in dates}
+    if dates:
+        held = "_dates" + "_" * max(map(len, schema.names))  # no column of the contract
+        texts = F.array(*[F.trim(F.col(c)) for c in dates])
+        df = df.select(*[value.alias(c) for c, value in typed.items()], F.transform(texts, conform_date).alias(held))
+        typed = {c: F.col(c) for c in typed} | {c: F.col(held)[i] for i, c in enumerate(dates)}
+    return df.select(*[typed[c].alias(c) for c in schema.names])
 
 
 def conform_rejects(df: DataFrame, schema: T.StructType, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

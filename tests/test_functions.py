@@ -21,6 +21,37 @@ def test_sentinel_dates(make):
     ]
 
 
+def test_source_dates_are_read_as_the_formatter_reads_them(make):
+    months = "JAN Feb mar APR MAY jun JUL AUG SEP OCT NOV dec Sept JA XXX ANF".split()
+    texts = [f"{d:02d}-{m}-{y:02d}" for d in (0, 1, 9, 28, 29, 30, 31, 32) for m in months for y in (0, 23, 24, 99)]
+    texts += ["", " ", "1-JAN-20", "01-JAN-2020", "01-JAN-20 ", " 01-JAN-20", "01-JAN-20\n", "01/JAN/20", "01-JAN-2", "1 -JAN-20",
+              "1T-JAN-20", "+1-JAN-20", "01-JAN-+1", "01-JAN--1", "\u0661\u0661-JAN-20", "01-\u017fep-20", "01--JAN-20", None]
+    rows = make([(t,) for t in texts], "t string").select(
+        fn.slice_date(F.col("t")).alias("got"), F.try_to_date("t", "dd-MMM-yy").alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] and sum(r.got is not None for r in rows) > 200
+
+
+def test_slice_keys_are_spelled_as_the_formatter_spells_them(spark):
+    days = spark.range(-1_200_000, 1_200_000, 997).select(F.date_add(F.lit("1970-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    spelled = F.upper(F.date_format("d", "dd-MMM-yy"))
+    assert days.filter(~fn.slice_key(F.col("d")).eqNullSafe(spelled)).isEmpty()
+
+
+def test_conform_stays_within_what_the_jvm_compiles(make):
+    names = [f"c{i}" for i in range(60)]
+    raw = make([tuple("05-FEB-24" for _ in names)], ", ".join(f"{n} string" for n in names))
+    typed = p.conform(raw, contract(", ".join(f"{n} date" if i % 2 else n for i, n in enumerate(names))))
+    parts = typed._jdf.queryExecution().debug().codegenToSeq()
+    assert all(parts.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(parts.size()))
+    assert [*typed.first()] == [date(2024, 2, 5) if i % 2 else "05-FEB-24" for i in range(60)]
+
+
+def test_conform_takes_columns_named_like_its_own(make):
+    raw = make([("05-FEB-24", "x", "05-MAR-24")], "_dates string, _dates_ string, d string")
+    typed = p.conform(raw, contract("d date, _dates date, _dates_"))
+    assert [*typed.first()] == [date(2024, 3, 5), date(2024, 2, 5), "x"]
+
+
 def test_trim_takes_spaces_only(make):
     df = make([(" a ", 1), (" a\t ", 2), (" ", 3), (None, 4)], "s string, n int")
     assert [r.s for r in p.trim_all_strings(df).orderBy("n").collect()] == ["a", "a\t", "", None]
